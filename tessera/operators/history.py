@@ -26,6 +26,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 ColumnLike = "str | Column"
 
@@ -59,6 +60,24 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _sum_type(df: DataFrame, value: str):
+    """Decimal inputs stay exact: every partial sum is held at one widened
+    decimal type (precision <= 37, so adding two partials keeps the scale);
+    doubles are summed as doubles.  The mean divides once, as double."""
+    dt = df.schema[value].dataType
+    if isinstance(dt, DecimalType):
+        return DecimalType(min(37, dt.precision + 10), dt.scale)
+    return "double"
+
+
+def _sum(col: Column, st) -> Column:
+    return col.cast(st)
+
+
+def _mean(s: Column, c: Column) -> Column:
+    return F.when(c > 0, s.cast("double") / c)
+
+
 def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: Sequence[Prior],
                 bucket: Column | None = None) -> DataFrame:
     """Add one column per ``Prior``; ``order`` must be a total order per entity."""
@@ -85,13 +104,11 @@ def _single_level(df: DataFrame, groups, order_cols) -> DataFrame:
         for p in ps:
             if p.kind == "count":
                 out = out.withColumn(p.name, (F.row_number().over(w) - 1).cast("long"))
-            elif p.kind == "mean":
-                v = F.col(p.value).cast("double")
-                out = out.withColumn(p.name, F.sum(v).over(before) / F.nullif(F.count(v).over(before), F.lit(0)))
-            elif p.kind == "rolling":
-                v = F.col(p.value).cast("double")
-                frame = w.rowsBetween(-p.n, -1)
-                out = out.withColumn(p.name, F.sum(v).over(frame) / F.nullif(F.count(v).over(frame), F.lit(0)))
+            elif p.kind in ("mean", "rolling"):
+                st = _sum_type(out, p.value)
+                v = F.col(p.value).cast(st)
+                frame = before if p.kind == "mean" else w.rowsBetween(-p.n, -1)
+                out = out.withColumn(p.name, _mean(F.sum(v).over(frame), F.count(v).over(frame)))
             else:
                 d = F.col(p.value)
                 out = out.withColumn(p.name, F.datediff(d, F.lag(d).over(w)))
@@ -110,16 +127,17 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
 
     values = []  # (alias, Column) carried into the halo
     aggs = [F.max(cnt).alias("cnt")]
+    sts = {j: _sum_type(df, p.value) for j, p in enumerate(ps) if p.kind in ("mean", "rolling")}
     for j, p in enumerate(ps):
         if p.kind == "mean":
-            v = F.col(p.value).cast("double")
-            out = (out.withColumn(f"{tag}_s{j}", F.sum(v).over(before_in))
+            v = F.col(p.value).cast(sts[j])
+            out = (out.withColumn(f"{tag}_s{j}", _sum(F.sum(v).over(before_in), sts[j]))
                       .withColumn(f"{tag}_c{j}", F.count(v).over(before_in)))
-            aggs += [F.sum(v).alias(f"s{j}"), F.count(v).alias(f"c{j}")]
+            aggs += [_sum(F.sum(v), sts[j]).alias(f"s{j}"), F.count(v).alias(f"c{j}")]
         elif p.kind == "rolling":
-            v = F.col(p.value).cast("double")
+            v = F.col(p.value).cast(sts[j])
             frame = w_in.rowsBetween(-p.n, -1)
-            out = (out.withColumn(f"{tag}_s{j}", F.sum(v).over(frame))
+            out = (out.withColumn(f"{tag}_s{j}", _sum(F.sum(v).over(frame), sts[j]))
                       .withColumn(f"{tag}_c{j}", F.count(v).over(frame)))
             values.append((f"v{j}", v))
         elif p.kind == "gap_days":
@@ -136,7 +154,7 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
             F.coalesce(F.sum("cnt").over(prior_b), F.lit(0)).alias(f"{tag}_orows")]
     for j, p in enumerate(ps):
         if p.kind == "mean":
-            cols += [F.coalesce(F.sum(f"s{j}").over(prior_b), F.lit(0.0)).alias(f"{tag}_os{j}"),
+            cols += [_sum(F.coalesce(F.sum(f"s{j}").over(prior_b), F.lit(0)), sts[j]).alias(f"{tag}_os{j}"),
                      F.coalesce(F.sum(f"c{j}").over(prior_b), F.lit(0)).alias(f"{tag}_oc{j}")]
     if halo:
         # Each earlier bucket holds at least one row, so the last `halo` rows
@@ -151,18 +169,21 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
         if p.kind == "count":
             out = out.withColumn(p.name, (F.col(f"{tag}_orows") + F.col(rn) - 1).cast("long"))
         elif p.kind == "mean":
-            s = F.col(f"{tag}_os{j}") + F.coalesce(F.col(f"{tag}_s{j}"), F.lit(0.0))
+            zero = F.lit(0).cast(sts[j])
+            s = F.col(f"{tag}_os{j}") + F.coalesce(F.col(f"{tag}_s{j}"), zero)
             c = F.col(f"{tag}_oc{j}") + F.col(f"{tag}_c{j}")
-            out = out.withColumn(p.name, F.when(c > 0, s / c))
+            out = out.withColumn(p.name, _mean(s, c))
         elif p.kind == "rolling":
             need = F.greatest(F.lit(p.n) - (F.col(rn) - 1), F.lit(0))
             take = F.least(need, F.size(hcol))
             part = F.when(take > 0, F.slice(hcol, F.size(hcol) - take + 1, take))
-            hs = F.coalesce(F.aggregate(part, F.lit(0.0), lambda acc, x: acc + F.coalesce(x[f"v{j}"], F.lit(0.0))), F.lit(0.0))
+            st = sts[j]
+            zero = F.lit(0).cast(st)
+            hs = F.coalesce(F.aggregate(part, zero, lambda acc, x: (acc + F.coalesce(x[f"v{j}"], zero)).cast(st)), zero)
             hc = F.coalesce(F.aggregate(part, F.lit(0), lambda acc, x: acc + F.when(x[f"v{j}"].isNotNull(), 1).otherwise(0)), F.lit(0))
-            s = F.coalesce(F.col(f"{tag}_s{j}"), F.lit(0.0)) + hs
+            s = F.coalesce(F.col(f"{tag}_s{j}"), zero) + hs
             c = F.col(f"{tag}_c{j}") + hc
-            out = out.withColumn(p.name, F.when(c > 0, s / c))
+            out = out.withColumn(p.name, _mean(s, c))
         elif p.kind == "gap_days":
             last = F.element_at(hcol, -1)[f"v{j}"]
             prev = F.when(F.col(rn) > 1, F.col(f"{tag}_l{j}")).when(F.size(hcol) > 0, last)

@@ -35,13 +35,14 @@ def races(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# total order of the lines of one order (the five columns are unique together)
-FINISH_ORDER = [F.col("l_extendedprice").desc(), "l_linenumber", "l_partkey", "l_suppkey"]
+def finish_order():
+    """Total order of the lines of one order (the five columns are unique together)."""
+    return [F.col("l_extendedprice").desc(), "l_linenumber", "l_partkey", "l_suppkey"]
 
 
 def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read(spark, sf_dir, "lineitem")
-    w = Window.partitionBy("l_orderkey").orderBy(*FINISH_ORDER)
+    w = Window.partitionBy("l_orderkey").orderBy(*finish_order())
     return li.select(
         F.col("l_orderkey").alias("race_id"),
         F.col("l_partkey").alias("horse_id"),
@@ -74,3 +75,62 @@ ENTRIES_SQL = """entries AS (
 RACE_ENTRIES_SQL = """race_entries AS (SELECT * FROM races JOIN entries USING (race_id))"""
 
 TESTBED_SQL = "WITH " + ",\n".join([RACES_SQL, ENTRIES_SQL, RACE_ENTRIES_SQL])
+
+
+# Derived entry columns: odds (null for some horses), three model scores,
+# popularity, a result-time text in two notations (plus junk) and a corner list.
+_SCORED_EXPRS = {
+    "odds_place_min": "CASE WHEN horse_id % 7 = 0 THEN NULL ELSE 1 + l_quantity / 10 END",
+    "odds_win": "1 + l_quantity / 4",
+    "prob_a": "l_discount * 9 + 0.05",
+    "prob_b": "l_tax * 8 + 0.1",
+    "prob_c": "CASE WHEN horse_no = 7 THEN NULL ELSE l_quantity / 50 * 0.9 END",
+    "tenths": "CAST(600 + CAST(floor(l_extendedprice) AS BIGINT) % 900 AS BIGINT)",
+    "first_corner": "CAST(CAST(l_quantity AS BIGINT) % field_size + 1 AS BIGINT)",
+}
+_TEXT_EXPRS = {
+    "compact": "CAST((tenths {D} 600) AS {S}) || lpad(CAST(((tenths % 600) {D} 10) AS {S}), 2, '0') || CAST(tenths % 10 AS {S})",
+    "legacy": "CAST((tenths {D} 600) AS {S}) || ':' || lpad(CAST(((tenths % 600) {D} 10) AS {S}), 2, '0') || '.' || CAST(tenths % 10 AS {S})",
+}
+_FINAL_EXPRS = {
+    "finish_time": "CASE WHEN l_tax = 0 THEN 'DNF' WHEN horse_no % 2 = 1 THEN "
+                   "(CASE WHEN l_returnflag = 'A' THEN ' ' || compact || ' ' ELSE compact END) ELSE legacy END",
+    "corner_order": "CASE WHEN l_linestatus = 'O' AND l_returnflag = 'N' THEN '' ELSE "
+                    "lpad(CAST(first_corner AS {S}), 2, '0') || '-' || "
+                    "lpad(CAST(((first_corner + finish_position) {D} 2) AS {S}), 2, '0') || '-' || "
+                    "lpad(CAST(finish_position AS {S}), 2, '0') END",
+}
+POPULARITY_ORDER = "l_quantity, horse_no, horse_id, jockey_id, l_extendedprice"
+
+
+def _spark(e: str) -> str:
+    return e.replace("{D}", "div").replace("{S}", "STRING")
+
+
+def _duck(e: str) -> str:
+    return e.replace("{D}", "//").replace("{S}", "VARCHAR")
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Race entries plus the derived columns above (same text as ``SCORED_SQL``)."""
+    df = race_entries(spark, sf_dir)
+    for name, e in _SCORED_EXPRS.items():
+        df = df.withColumn(name, F.expr(e))
+    for name, e in _TEXT_EXPRS.items():
+        df = df.withColumn(name, F.expr(_spark(e)))
+    for name, e in _FINAL_EXPRS.items():
+        df = df.withColumn(name, F.expr(_spark(e)))
+    w = Window.partitionBy("race_id").orderBy(*[c.strip() for c in POPULARITY_ORDER.split(",")])
+    return df.withColumn("popularity", F.row_number().over(w).cast("int")).drop("compact", "legacy")
+
+
+SCORED_SQL = ("scored0 AS (SELECT *, " + ", ".join(f"{e} AS {n}" for n, e in _SCORED_EXPRS.items())
+              + " FROM race_entries),\n"
+              + "scored1 AS (SELECT *, " + ", ".join(f"{_duck(e)} AS {n}" for n, e in _TEXT_EXPRS.items())
+              + " FROM scored0),\n"
+              + "scored AS (SELECT * EXCLUDE (compact, legacy), "
+              + ", ".join(f"{_duck(e)} AS {n}" for n, e in _FINAL_EXPRS.items())
+              + f", CAST(row_number() OVER (PARTITION BY race_id ORDER BY {POPULARITY_ORDER}) AS INTEGER) AS popularity"
+              + " FROM scored1)")
+
+SCORED_WITH = TESTBED_SQL + ",\n" + SCORED_SQL
