@@ -49,7 +49,7 @@ def start_minutes(col) -> Column:
 def cutoff_time(date_col, start_col, minutes_before: int = 1) -> Column:
     """date + start time - ``minutes_before`` minutes, as timestamp_ntz."""
     m = start_minutes(start_col)
-    base = F.to_timestamp_ntz(F.date_format(_c(date_col), "yyyy-MM-dd"))
+    base = _c(date_col).cast("timestamp_ntz")
     return F.when(m.isNotNull(), base + F.make_dt_interval(F.lit(0), F.lit(0), m - F.lit(minutes_before)))
 
 

@@ -54,8 +54,9 @@ def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: st
         w = Window.partitionBy(*key, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
         found = u.withColumn("__in", F.last("__r", ignorenulls=True).over(w))
         rord = F.struct(F.col("__ts"), *[F.col(f"__tie{i}") for i in range(len(tie))])
-        last_in_bucket = (u.where(F.col("__r").isNotNull()).groupBy(*key, "__b")
-                          .agg(F.max_by("__r", rord).alias("__lastb")))
+        # one row for every (key, bucket), also buckets without right rows
+        last_in_bucket = (u.groupBy(*key, "__b")
+                          .agg(F.max_by("__r", F.when(F.col("__r").isNotNull(), rord)).alias("__lastb")))
         wb = Window.partitionBy(*key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
         carry = last_in_bucket.select(*key, "__b", F.last("__lastb", ignorenulls=True).over(wb).alias("__carry"))
         found = (found.where(F.col("__l").isNotNull()).join(carry, on=[*key, "__b"], how="left")

@@ -24,7 +24,7 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from tessera.plans import cases_core, cases_features, cases_history  # noqa: F401
+    from tessera.plans import cases_core, cases_features, cases_history, cases_time  # noqa: F401
 
 
 def r6(name: str):
