@@ -61,10 +61,13 @@ def join_parts(cols, sep: str = "-", skip=("", "00")) -> Column:
 
 
 def strip_chars(col, chars: str = "\u0000 \u3000") -> Column:
-    """F16: trim NUL, space and full-width space on both sides; drop a BOM."""
-    x = F.regexp_replace(_c(col), "^\\x{feff}", "")
-    cls = "".join(f"\\x{{{ord(ch):04x}}}" for ch in chars)
-    return F.regexp_replace(x, f"^[{cls}]+|[{cls}]+$", "")
+    """F16: trim NUL, space and full-width space on both sides (a set trim)."""
+    return F.btrim(_c(col), F.lit(chars))
+
+
+def strip_bom(col) -> Column:
+    """Drop a leading byte-order mark."""
+    return F.regexp_replace(_c(col), "^\\x{feff}", "")
 
 
 def odds_value(col) -> Column:
@@ -81,4 +84,4 @@ def tenths_or_null(col, sentinel: str) -> Column:
 
 def yyyymmdd(col) -> Column:
     """``yyyyMMdd`` text to date, null when invalid."""
-    return F.try_to_date(_c(col), F.lit("yyyyMMdd"))
+    return F.try_to_date(_c(col), "yyyyMMdd")

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from tessera.session import cut_lineage
+
 ColumnLike = "str | Column"
 
 
@@ -79,7 +81,7 @@ def _mean(s: Column, c: Column) -> Column:
 
 
 def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: Sequence[Prior],
-                bucket: Column | None = None) -> DataFrame:
+                bucket: Column | None = None, materialize: bool = True) -> DataFrame:
     """Add one column per ``Prior``; ``order`` must be a total order per entity."""
     entity = list(entity)
     order_cols = [_col(c) for c in order]
@@ -89,8 +91,13 @@ def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: S
     if bucket is None:
         return _single_level(df, groups, order_cols)
     out = df.withColumn("__bkt", bucket)
-    # One shuffle on (entity, bucket) serves every finer (entity, keys, bucket) window.
+    # One shuffle on (entity, bucket) serves every finer (entity, keys, bucket)
+    # window.  Each key group reads the rows twice (in-bucket windows and the
+    # per-bucket summary); the shuffled rows are checkpointed once so the
+    # upstream plan is not recomputed for the second reader.
     out = out.repartition(*[F.col(c) for c in entity], F.col("__bkt"))
+    if materialize:
+        out = cut_lineage(out)
     for i, (keys, ps) in enumerate(groups.items()):
         out = _segmented(out, list(keys), order_cols, ps, f"__g{i}")
     return out.drop("__bkt")

@@ -59,10 +59,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}"
 
 
-def cut_lineage(df, eager: bool = True):
-    """Reliable checkpoint into the shared folder (survives executor loss)."""
+def cut_lineage(df):
+    """Reliable checkpoint into the shared folder (survives executor loss).
+
+    The rows are persisted while the checkpoint is written, so the plan is
+    computed once (a reliable checkpoint otherwise recomputes its input for
+    the write), and released once the files are in place."""
+    from pyspark import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return held.checkpoint(eager=True)
+    finally:
+        held.unpersist()
 
 
 def table_path(sf_dir: str, name: str) -> str:
