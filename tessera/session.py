@@ -29,6 +29,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(_DEFAULTS)
+    if master and master.startswith("local"):
+        conf["spark.driver.memory"] = "8g"  # local mode: the driver JVM is the executor
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
