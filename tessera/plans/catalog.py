@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from tessera.plans import (cases_betting, cases_core, cases_decode, cases_features,  # noqa: F401
-                               cases_history, cases_ml, cases_time)
+                               cases_history, cases_ml, cases_stream, cases_time)
 
 
 def r6(name: str):
