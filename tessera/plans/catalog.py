@@ -25,7 +25,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every module that registers queries."""
     from tessera.plans import (cases_betting, cases_core, cases_decode, cases_features,  # noqa: F401
-                               cases_history, cases_ml, cases_stream, cases_time)
+                               cases_history, cases_ml, cases_refresh, cases_stream, cases_time)
 
 
 def r6(name: str):
@@ -64,4 +64,4 @@ def r6sql(sql: str) -> str:
 # Queries checked by row count and invariants only (model fits, streams): the
 # driver records a rows-only check for them.
 ROWS_ONLY: tuple[str, ...] = ("feature_columns", "train_score", "calibrate", "backtest", "compare_models",
-                               "walk_forward", "ablate")
+                               "walk_forward", "ablate", "refresh", "predict_day")
