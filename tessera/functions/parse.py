@@ -85,3 +85,10 @@ def tenths_or_null(col, sentinel: str) -> Column:
 def yyyymmdd(col) -> Column:
     """``yyyyMMdd`` text to date, null when invalid."""
     return F.try_to_date(_c(col), "yyyyMMdd")
+
+
+def shift_jis_text(col) -> Column:
+    """text from a one-character-per-byte string holding Shift-JIS bytes:
+    the characters are re-encoded as Latin-1 bytes and decoded as Shift_JIS.
+    JVM-side; needs ``spark.sql.legacy.javaCharsets=true`` for the charset."""
+    return F.decode(F.encode(_c(col), "ISO-8859-1"), "Shift_JIS")
