@@ -80,9 +80,19 @@ def _mean(s: Column, c: Column) -> Column:
     return F.when(c > 0, s.cast("double") / c)
 
 
+HOT_ROWS = 5_000_000   # an entity with more rows than one task should hold
+MAX_HOT_KEYS = 10_000  # hot keys listed individually (a bounded, collected list)
+
+
 def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: Sequence[Prior],
-                bucket: Column | None = None, materialize: bool = True) -> DataFrame:
-    """Add one column per ``Prior``; ``order`` must be a total order per entity."""
+                bucket: Column | None = None, hot_rows: int | None = HOT_ROWS, materialize: bool = True) -> DataFrame:
+    """Add one column per ``Prior``; ``order`` must be a total order per entity.
+
+    With a ``bucket``, entities holding more than ``hot_rows`` rows take the
+    segmented scan and all others plain windows (one shuffle).  Finding them
+    is one aggregate whose result is at most ``MAX_HOT_KEYS`` keys; with more
+    hot keys than that, every entity takes the segmented scan.  ``hot_rows=None``
+    forces the segmented scan for all."""
     entity = list(entity)
     order_cols = [_col(c) for c in order]
     groups: dict[tuple[str, ...], list[Prior]] = {}
@@ -90,12 +100,28 @@ def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: S
         groups.setdefault(tuple(entity) + tuple(p.keys), []).append(p)
     if bucket is None:
         return _single_level(df, groups, order_cols)
+    if hot_rows is not None:
+        counts = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n"))
+        hot = counts.where(F.col("__n") > hot_rows).select(*entity).limit(MAX_HOT_KEYS + 1).collect()
+        if not hot:
+            return _single_level(df, groups, order_cols)
+        if len(hot) <= MAX_HOT_KEYS:
+            keys = df.sparkSession.createDataFrame(hot, df.select(*entity).schema).withColumn("__hot", F.lit(True))
+            flagged = df.join(F.broadcast(keys), on=entity, how="left")  # bounded: <= MAX_HOT_KEYS rows
+            cold = flagged.where(F.col("__hot").isNull()).drop("__hot")
+            warm = flagged.where(F.col("__hot")).drop("__hot")
+            plain = _single_level(cold, groups, order_cols)
+            seg = _segmented_all(warm, entity, groups, order_cols, bucket, materialize)
+            return plain.unionByName(seg.select(*plain.columns))
+    return _segmented_all(df, entity, groups, order_cols, bucket, materialize)
+
+
+def _segmented_all(df, entity, groups, order_cols, bucket, materialize):
     out = df.withColumn("__bkt", bucket)
-    # One shuffle on (entity, bucket) serves every finer (entity, keys, bucket)
-    # window.  Each key group reads the rows twice (in-bucket windows and the
-    # per-bucket summary); the shuffled rows are checkpointed once so the
-    # upstream plan is not recomputed for the second reader.
-    out = out.repartition(*[F.col(c) for c in entity], F.col("__bkt"))
+    # Each key group reads the rows twice (in-bucket windows and the
+    # per-bucket summary): the input is checkpointed once so the upstream plan
+    # is not recomputed for the second reader; the windows then shuffle on
+    # (entity, bucket), which also serves every finer (entity, keys, bucket).
     if materialize:
         out = cut_lineage(out)
     for i, (keys, ps) in enumerate(groups.items()):
@@ -105,6 +131,13 @@ def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: S
 
 def _single_level(df: DataFrame, groups, order_cols) -> DataFrame:
     out = df
+    if len(groups) > 1:
+        # one hash partitioning on the shared entity key serves every finer
+        # (entity, condition) window: one shuffle instead of one per group
+        entity = [c for c in next(iter(groups)) if all(c in k for k in groups)]
+        common = [c for c in entity if all(k[:len(entity)] == tuple(entity) for k in groups)]
+        if common:
+            out = out.repartition(*[F.col(c) for c in common])
     for keys, ps in groups.items():
         w = Window.partitionBy(*keys).orderBy(*order_cols)
         before = w.rowsBetween(Window.unboundedPreceding, -1)

@@ -47,7 +47,7 @@ def test_recent_and_condition_features_use_only_prior_races(spark, bucketed):
               Prior("bucket_rate", "mean", "__hit", keys=("distance_bucket",)), Prior("gap", "gap_days", "race_date"),
               Prior("speed3", "rolling", "__speed", 3), Prior("early", "mean", "__early")]
     out = with_priors(df, ["horse_id"], ["race_date", "race_id"], priors,
-                      month_bucket("race_date") if bucketed else None)
+                      month_bucket("race_date") if bucketed else None, hot_rows=None)
     third = out.where("race_id = 'race-3'").first()
     assert third.recent3 == 0.5
     assert third.course_rate == 0.5
@@ -91,15 +91,17 @@ def test_segmented_equals_plain_windows_with_a_hot_key(spark):
               Prior("r5", "rolling", "v", 5), Prior("gap", "gap_days", "d"), Prior("cm", "mean", "v", keys=("cond",)),
               Prior("cn", "count", keys=("cond",))]
     plain = with_priors(df, ["ent"], ["d", "id"], priors)
-    seg = with_priors(df, ["ent"], ["d", "id"], priors, bucket=month_bucket("d"))
     cols = ["id"] + [p.name for p in priors]
     a = {r.id: r for r in plain.select(*cols).collect()}
-    b = {r.id: r for r in seg.select(*cols).collect()}
-    assert a.keys() == b.keys()
-    for k in a:
-        for c in cols[1:]:
-            x, y = a[k][c], b[k][c]
-            assert (x is None and y is None) or x == pytest.approx(y), (k, c, x, y)
+    # all keys segmented, and only the hot key (1000 rows) segmented
+    for hot_rows in (None, 500):
+        seg = with_priors(df, ["ent"], ["d", "id"], priors, bucket=month_bucket("d"), hot_rows=hot_rows)
+        b = {r.id: r for r in seg.select(*cols).collect()}
+        assert a.keys() == b.keys()
+        for k in a:
+            for c in cols[1:]:
+                x, y = a[k][c], b[k][c]
+                assert (x is None and y is None) or x == pytest.approx(y), (hot_rows, k, c, x, y)
 
 
 def test_history_is_leak_free(spark):
@@ -108,6 +110,6 @@ def test_history_is_leak_free(spark):
     df1 = spark.createDataFrame(base, "ent int, d date, id int, v double")
     df2 = spark.createDataFrame(base[:-5] + [(1, r[1], r[2], 99.0) for r in base[-5:]], "ent int, d date, id int, v double")
     pri = [Prior("m", "mean", "v"), Prior("r3", "rolling", "v", 3)]
-    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
-    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
+    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d"), hot_rows=None).where("id <= 16").orderBy("id").collect()
+    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d"), hot_rows=None).where("id <= 16").orderBy("id").collect()
     assert [(r.m, r.r3) for r in a] == [(r.m, r.r3) for r in b]

@@ -18,9 +18,12 @@ def test_asof_has_no_nested_loop_join(spark):
 
 
 def test_history_windows_share_one_shuffle_of_the_rows(spark):
-    df = cases_history.prior_history(spark, SF)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert "RepartitionByExpression" in plan
+    """Without hot keys every history window (all conditions) runs on one
+    hash partitioning of the rows: a single Exchange on the entity key."""
+    from tessera.plans.cases_features import condition_history
+    plan = _plan(condition_history(spark, SF))
+    row_shuffles = [l for l in plan.split("\n") if "Exchange hashpartitioning(horse_id" in l]
+    assert len(row_shuffles) == 1, row_shuffles
 
 
 def test_parquet_scans_are_pruned_and_filtered(spark):
