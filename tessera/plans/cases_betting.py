@@ -324,10 +324,10 @@ def _metrics_table(spark, sf_dir):
 BEST_BY_SQL = METRICS_TABLE_SQL + """
 SELECT 'roi' AS metric, (SELECT label FROM m WHERE roi IS NOT NULL ORDER BY roi DESC, label LIMIT 1) AS best_label,
   round((SELECT max(roi) FROM m), 6) AS best_value, (SELECT label FROM m WHERE roi IS NOT NULL ORDER BY roi ASC, label LIMIT 1) AS worst_label,
-  round(avg(roi), 6) AS mean_value, sum(bet_count) AS total_bets FROM m
+  round(avg(roi), 6) AS mean_value, CAST(sum(bet_count) AS BIGINT) AS total_bets FROM m
 UNION ALL
 SELECT 'auc', (SELECT label FROM m WHERE auc IS NOT NULL ORDER BY auc DESC, label LIMIT 1), round((SELECT max(auc) FROM m), 6),
-  (SELECT label FROM m WHERE auc IS NOT NULL ORDER BY auc ASC, label LIMIT 1), round(avg(auc), 6), sum(bet_count) FROM m"""
+  (SELECT label FROM m WHERE auc IS NOT NULL ORDER BY auc ASC, label LIMIT 1), round(avg(auc), 6), CAST(sum(bet_count) AS BIGINT) FROM m"""
 
 
 @register("best_by", r6sql(BEST_BY_SQL))
