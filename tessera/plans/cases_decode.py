@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.plans import decode as dec
 from tessera.plans.catalog import r6, r6sql, register
-from tessera.session import table_path
+from tessera.session import cut_lineage, table_path
 from tessera.sources.records import archive, dump_records, type_counts
 
 D2 = "lpad(CAST({} AS STRING), 2, '0')"
@@ -109,7 +109,9 @@ def records(spark, sf_dir):
             "event_id", F.expr(SPEC_OF).alias("data_spec"), F.col("rt").alias("record_type"),
             F.expr(payload_sql(rt)).alias("raw_payload"), F.col("ts").alias("received_at"))
         out = part if out is None else out.unionByName(part)
-    return out
+    # an archive is a stored table: materialise the derived payloads once, so
+    # the slot cuts read a column instead of re-deriving the text per cut
+    return cut_lineage(out)
 
 
 RECORDS_SQL = f"""WITH ev AS (SELECT *, {TYPE_OF} AS rt FROM events),

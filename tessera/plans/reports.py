@@ -13,6 +13,7 @@ from tessera.operators.betting import PARAM_GRID, best_params, evaluate_grid
 from tessera.operators.metrics import bet_metrics
 from tessera.operators.rows import with_row
 from tessera.operators.splits import split_by_date
+from tessera.session import cut_lineage
 
 
 def best_by(df: DataFrame, label: str, metrics: Sequence[str], count_col: str, higher: bool = True) -> DataFrame:
@@ -47,7 +48,8 @@ def optimise_thresholds(df: DataFrame, date: str, order: Sequence, grid: dict =
     """Split labelled rows by date, search the grid on the valid dates only,
     pick the best set (O3) and evaluate it once on the test dates.  One row:
     chosen thresholds, valid and test metrics, races per split (A16)."""
-    s = split_by_date(df, date, valid, test)
+    # the split frame is read by several passes (grid, ordered scans, test, counts)
+    s = cut_lineage(split_by_date(df, date, valid, test))
     gv = evaluate_grid(s.where(F.col("split") == "valid"), order, grid)
     best = best_params(gv, min_bets)
     params = list(grid.keys())
