@@ -305,3 +305,26 @@ def latest_per_key_q(spark, sf_dir):
     out = latest_per_key(ev, ["user_id", "event_type"], ["ts", "event_id"])
     return out.select("user_id", "event_type", "event_id",
                       F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "value")
+
+
+LOOKUP_SQL = testbed.SCORED_WITH + """,
+upd AS (SELECT race_id, horse_no, CASE WHEN l_tax = 0 THEN NULL ELSE 1 + l_quantity / 3 END AS odds_win, l_shipdate,
+               jockey_id, l_extendedprice FROM scored),
+lat AS (SELECT race_id, horse_no, odds_win AS new_odds, row_number() OVER (PARTITION BY race_id, horse_no
+          ORDER BY l_shipdate DESC, jockey_id DESC, l_extendedprice DESC) AS rn FROM upd)
+SELECT s.race_id, s.horse_id, s.horse_no, s.jockey_id, round(coalesce(lat.new_odds, s.odds_win), 6) AS odds_win
+FROM scored s LEFT JOIN lat ON lat.rn = 1 AND lat.race_id = s.race_id AND lat.horse_no = s.horse_no"""
+
+
+@register("odds_onto_entries", r6sql(LOOKUP_SQL))
+def odds_onto_entries(spark, sf_dir):
+    """U4: the latest odds per (race, number) - a non-unique key of entries -
+    applied to every entry with that key; a null update keeps the old odds."""
+    from tessera.operators.upsert import update_by_lookup
+    df = testbed.scored(spark, sf_dir)
+    updates = df.select("race_id", "horse_no",
+                        F.when(F.col("l_tax") != 0, 1 + F.col("l_quantity") / 3).alias("odds_win"),
+                        "l_shipdate", "jockey_id", "l_extendedprice")
+    out = update_by_lookup(df.select("race_id", "horse_id", "horse_no", "jockey_id", "odds_win"), updates,
+                           ["race_id", "horse_no"], ["odds_win"], ["l_shipdate", "jockey_id", "l_extendedprice"])
+    return out.select("race_id", "horse_id", "horse_no", "jockey_id", r6("odds_win"))
