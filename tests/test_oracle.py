@@ -7,10 +7,12 @@ import pytest
 
 import __spark_entry__ as entry
 from scripts.check_oracle import compare, duck
+from tessera.plans import catalog
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+catalog.load_all()
+QUERIES = catalog.QUERIES
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
