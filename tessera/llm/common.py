@@ -78,3 +78,35 @@ class AtomicFile:
             self.fs.move(self.temp, self.final)
         else:
             self.fs.delete_file(self.temp)
+
+
+# A key held by more than 1/HOT_SHARE of all rows is hot. At most HOT_SHARE keys
+# can be, whatever the input, which bounds the broadcast below.
+HOT_SHARE = 1000
+
+
+def join_classes(members: DataFrame, classes: DataFrame, key: str, rows_col: str, scatter: list[str]) -> DataFrame:
+    """Left join of rows with their class (one row per key, ``rows_col`` members
+    each), with hot keys matched by a broadcast of at most HOT_SHARE rows. Hot
+    rows then carry a scattered salt through the join of the rest, so no task
+    receives a hot group. ``members`` should be a written table."""
+    total = members.count()
+    other = [F.col(c) for c in classes.columns if c != key]
+    hot = F.col(rows_col) * HOT_SHARE > total
+    few = classes.filter(hot).select(key, F.struct(*other).alias("_hot"))
+    rest = classes.filter(~hot).select(key, F.lit(0).cast("long").alias("_salt"), F.struct(*other).alias("_cold"))
+    salt = F.when(F.col("_hot").isNotNull(), F.xxhash64(*scatter)).otherwise(F.lit(0).cast("long"))
+    out = members.join(F.broadcast(few), key, "left").withColumn("_salt", salt).join(rest, [key, "_salt"], "left")
+    own = F.coalesce(F.col("_hot"), F.col("_cold"))
+    return out.select(*members.columns, *[own[c].alias(c) for c in classes.columns if c != key])
+
+
+def one_of_each(rows: DataFrame, key: str, n_col: str, names: list) -> DataFrame:
+    """Rows whose key occurs once as they are; of rows that repeat a key (``n_col``
+    of them), the first by its columns."""
+    from pyspark.sql import Window as W
+    once = rows.filter(F.col(n_col) == 1).select(names)
+    first = W.partitionBy(key).orderBy(*names)
+    again = (rows.filter(F.col(n_col) > 1).withColumn(n_col, F.row_number().over(first))
+             .filter(F.col(n_col) == 1).select(names))
+    return once.unionByName(again)

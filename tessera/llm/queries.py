@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, packing
+from tessera.llm import elias_fano, exact_dedup, packing, simhash
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -52,3 +52,9 @@ def op8(spark, sf_dir):
 @register("op10_best_fit")
 def op10(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 0, SEQUENCE)
+
+
+@register("op2_simhash")
+def op2(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
