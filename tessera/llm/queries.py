@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, packing, simhash
+from tessera.llm import elias_fano, exact_dedup, packing, quality, sharding, simhash, warc
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -58,3 +58,60 @@ def op10(spark, sf_dir):
 def op2(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op4_quality_rules", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
+         [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
+  FROM d),
+p AS (SELECT r, unnest(ws) AS x, generate_subscripts(ws, 1) AS k FROM w),
+g AS (
+  SELECT r, k, x || ' ' || lead(x) OVER o || ' ' || lead(x, 2) OVER o AS g
+  FROM p WINDOW o AS (PARTITION BY r ORDER BY k)),
+h AS (SELECT r, k, g IS NOT NULL AND count(*) OVER (PARTITION BY r, g) > 1 AS again FROM g),
+v AS (
+  SELECT r, again OR coalesce(lag(again) OVER o, false) OR coalesce(lag(again, 2) OVER o, false) AS hit
+  FROM h WINDOW o AS (PARTITION BY r ORDER BY k)),
+s AS (SELECT r, count(*) FILTER (hit) AS n FROM v GROUP BY r),
+c AS (SELECT r, max(n) AS top FROM (SELECT r, x, count(*) AS n FROM p GROUP BY r, x) GROUP BY r),
+b AS (
+  SELECT w.doc_id, w.t, len(ws) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+         length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(ls) AS n_lines, len(ls) - len(list_distinct(ls)) AS n_dup_lines,
+         CAST(coalesce(s.n, 0) AS BIGINT) AS n_repeat_words, coalesce(c.top, 0) AS top_word
+  FROM w LEFT JOIN s USING (r) LEFT JOIN c USING (r)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR 10 * n_symbols > n_words
+            OR 5 * (length(t) - length(replace(t, '!', ''))) > n_words
+            OR word_chars < 2 * n_words OR word_chars > 15 * n_words
+            OR length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) > length(t) - length(regexp_replace(t, '[a-z]', '', 'g'))
+            OR 2 * n_dup_lines > n_lines OR 10 * n_repeat_words > 4 * n_words OR 10 * top_word > 3 * n_words) AS kept
+FROM f""")
+def op4(spark, sf_dir):
+    return quality.assess(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+SHARDS = [f"shard-{k:03d}" for k in range(128)]
+SLOTS = 65_537
+
+
+@register("op6_lookup_sharding")
+def op6(spark, sf_dir):
+    slots = sharding.table_frame(spark, SHARDS, SLOTS)
+    return sharding.place(table(spark, sf_dir, "documents"), slots, "doc_id", SLOTS)
+
+
+@register("op1_warc", """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, sha256(coalesce(html, '')) AS h, strlen(coalesce(html, '')) AS n FROM pages),
+f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+SELECT page_id, n AS payload_bytes, h AS payload_digest,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN f USING (h)""")
+def op1(spark, sf_dir):
+    return warc.archive_pages(table(spark, sf_dir, "pages"))
