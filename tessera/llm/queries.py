@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, packing, quality, sharding, simhash, warc
+from tessera.llm import elias_fano, exact_dedup, packing, quality, secrets, sharding, simhash, warc
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -115,3 +115,8 @@ SELECT page_id, n AS payload_bytes, h AS payload_digest,
 FROM p JOIN f USING (h)""")
 def op1(spark, sf_dir):
     return warc.archive_pages(table(spark, sf_dir, "pages"))
+
+
+@register("op9_secret_scan")
+def op9(spark, sf_dir):
+    return secrets.scan(table(spark, sf_dir, "documents"))
