@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, packing, quality, secrets, sharding, simhash, warc
+from tessera.llm import elias_fano, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, warc
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -120,3 +120,22 @@ def op1(spark, sf_dir):
 @register("op9_secret_scan")
 def op9(spark, sf_dir):
     return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+# Temperatures: the share of a category grows with this power of its tokens.
+MIX_TARGETS = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+MIX_KEEP = 0.7
+
+
+def mix_columns():
+    """(dimensions, tokens) of documents, which has no topic column."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    words = mixing.n_words(text)
+    return {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.form_topic(text, words)}, words
+
+
+@register("op7_ipf_mixing", mixing.oracle(MIX_TARGETS, MIX_KEEP))
+def op7(spark, sf_dir):
+    dims, words = mix_columns()
+    out = mixing.assess(table(spark, sf_dir, "documents"), dims, MIX_TARGETS, words, MIX_KEEP)
+    return out.withColumn("probability", F.round(F.col("probability").cast("decimal(38,9)"), 6).cast("double"))
