@@ -7,7 +7,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, warc
+from tessera.llm import elias_fano, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, toxicity, warc
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -139,3 +139,9 @@ def op7(spark, sf_dir):
     dims, words = mix_columns()
     out = mixing.assess(table(spark, sf_dir, "documents"), dims, MIX_TARGETS, words, MIX_KEEP)
     return out.withColumn("probability", F.round(F.col("probability").cast("decimal(38,9)"), 6).cast("double"))
+
+
+@register("op3_toxicity")
+def op3(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.assess(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
