@@ -9,8 +9,8 @@ inserted or left out. The alphabet is the letters most common in the training
 units; any other character is a gap that a triple can skip.
 
 Fitting, on a sample of about ``train_rows`` labelled rows (the only bound, a
-parameter): each sentence carries the label of its document; units far more
-common under the toxic label than chance allows among that many units are the
+parameter): each distinct sentence carries the label of its documents, the
+clean one if they differ; units far more common under the toxic label than chance allows among that many units are the
 positive examples (Chernoff bound over all units), units of clean documents the
 negative ones. Landmarks from both give the Nystroem map, and a linear SVM with
 squared hinge loss is solved in it; the clean units that it scores highest join
@@ -44,6 +44,8 @@ from tessera.llm.common import fresh, quoted, stage, text_of
 
 DECAY = 0.6
 SPAN = 5           # a triple covers at most SPAN + 1 characters
+SHORTEST = 3       # shorter units are never evidence
+NOTHING = -1e9     # what they score
 LONGEST = 40       # longer units are read in overlapping windows
 MOST_LETTERS = 60  # size of the alphabet
 ROUNDS = 4
@@ -132,8 +134,9 @@ def score_units(words: list[str], weights: np.ndarray, alphabet: Alphabet) -> np
         total = np.zeros(len(codes), np.float32)
         for number, discount in triples(codes, alphabet):
             total += np.float32(discount) * padded[number].sum(axis=1)
-        best = np.full(min(8192, len(words) - at), -np.inf)
-        np.maximum.at(best, owner, total / scale_of(lengths))
+        best = np.full(min(8192, len(words) - at), NOTHING)
+        long = lengths >= SHORTEST + 2
+        np.maximum.at(best, owner[long], (total / scale_of(lengths))[long])
         out[at:at + 8192] = best
     return out
 
@@ -215,14 +218,24 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def _labelled_sentences(batches: Iterator) -> Iterator:
+    import pyarrow as pa
+    for batch in batches:
+        found, label = [], []
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            own = set(sentences(text))
+            found += own
+            label += [toxic] * len(own)
+        yield pa.RecordBatch.from_pydict({"sentence": pa.array(found, pa.string()), "toxic": pa.array(label, pa.int64())})
+
+
 def _evidence(batches: Iterator) -> Iterator:
-    """Distinct units of the labelled sentences of each document."""
+    """Distinct units of labelled sentences."""
     import pyarrow as pa
     for batch in batches:
         words, label = [], []
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found = set().union(*map(units, sentences(text)))
-            kept = {u for u in (w.strip(_TRIM) for w in found) if 2 < len(u) <= LONGEST}
+            kept = {u for u in (w.strip(_TRIM) for w in units(text)) if SHORTEST <= len(u) <= LONGEST}
             words += kept
             label += [toxic] * len(kept)
         yield pa.RecordBatch.from_pydict({"unit": pa.array(words, pa.string()), "toxic": pa.array(label, pa.int64())})
@@ -307,11 +320,16 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
     rows = docs.select(F.col(quoted(id_col)).alias("k"), text_of(docs, text_col).alias("text"))
     # at most about train_rows rows of two numbers: a size known before the data is
     train = stage(rows.join(F.broadcast(picked), "k").select("text", "toxic"), "labelled")
-    size = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
+    if train.select("toxic").distinct().count() < 2:
+        return Model()
+    # copies of a document are one piece of evidence, and what a clean one also has is clean
+    said = stage(train.mapInArrow(_labelled_sentences, "sentence string, toxic long").groupBy("sentence")
+                 .agg(F.min("toxic").alias("toxic")), "sentences")
+    size = {r["toxic"]: r["count"] for r in said.groupBy("toxic").count().collect()}
     n1, n0 = size.get(1, 0), size.get(0, 0)
     if not n1 or not n0:
         return Model()
-    counts = stage(train.mapInArrow(_evidence, "unit string, toxic long").groupBy("unit")
+    counts = stage(said.mapInArrow(_evidence, "unit string, toxic long").groupBy("unit")
                    .agg(F.sum("toxic").alias("t"), F.count(F.lit(1)).alias("n")), "units")
     base = n1 / (n1 + n0)
     rate = F.least(F.col("t") / F.col("n"), F.lit(1 - 1e-9))
