@@ -5,10 +5,12 @@ right rows are tagged, unioned and scanned in time order per key, so the plan
 has one shuffle on the key and never a nested-loop join.
 
 Scale: ``range_agg`` first reduces both sides to one row per (key, day), so a
-hot key costs at most one row per calendar day.  ``asof_join`` takes an
-optional ``bucket`` (monotone in time, e.g. the day): rows are scanned per
-(key, bucket) and the last right row of earlier buckets is carried in from a
-one-row-per-(key, bucket) summary, so a hot key is split across its buckets.
+hot key costs at most one row per calendar day.  ``asof_join`` scans per (key,
+bucket), where the bucket is monotone in time (the calendar day by default), and
+the last right row of earlier buckets is carried in from a one-row-per-(key,
+bucket) summary, so a hot key is split across its buckets.
+
+Nulls follow SQL: a null key or a null time matches nothing, on either side.
 """
 
 from __future__ import annotations
@@ -21,15 +23,15 @@ from pyspark.sql import functions as F
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str,
               take: Sequence[str], tie: Sequence[str] = (), strict: bool = True,
-              bucket_of=None, prefix: str = "") -> DataFrame:
+              bucket_of=F.to_date, prefix: str = "") -> DataFrame:
     """For each left row, the last right row of the same key whose time is
     before (``strict``) or at/before the left time; among right rows at the same
     time the one greatest in ``tie`` wins.  Adds ``prefix + c`` for each ``take``
     column (including ``right_ts`` if listed); no match gives nulls.
 
-    ``bucket_of``: optional function ts-Column -> bucket Column for the
-    segmented plan."""
+    ``bucket_of``: function ts-Column -> bucket Column, non-decreasing in time."""
     key = list(key)
+    right = right.where(_known([*key, right_ts]))
     rcols = list(dict.fromkeys([right_ts, *tie, *take]))
     # strict: a left row sorts before right rows of the same time (sees only
     # earlier ones); inclusive: after them.
@@ -46,25 +48,30 @@ def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: st
                       payload.alias("__r"))
     u = lt.unionByName(rt)
     order = [F.col("__ts"), F.col("__side"), *[F.col(f"__tie{i}") for i in range(len(tie))]]
-    if bucket_of is None:
-        w = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        found = u.withColumn("__m", F.last("__r", ignorenulls=True).over(w))
-    else:
-        u = u.withColumn("__b", bucket_of(F.col("__ts")))
-        w = Window.partitionBy(*key, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        found = u.withColumn("__in", F.last("__r", ignorenulls=True).over(w))
-        rord = F.struct(F.col("__ts"), *[F.col(f"__tie{i}") for i in range(len(tie))])
-        # one row for every (key, bucket), also buckets without right rows
-        last_in_bucket = (u.groupBy(*key, "__b")
-                          .agg(F.max_by("__r", F.when(F.col("__r").isNotNull(), rord)).alias("__lastb")))
-        wb = Window.partitionBy(*key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-        carry = last_in_bucket.select(*key, "__b", F.last("__lastb", ignorenulls=True).over(wb).alias("__carry"))
-        found = (found.where(F.col("__l").isNotNull()).join(carry, on=[*key, "__b"], how="left")
-                 .withColumn("__m", F.coalesce("__in", "__carry")))
+    u = u.withColumn("__b", bucket_of(F.col("__ts")))
+    w = Window.partitionBy(*key, "__b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = u.withColumn("__in", F.last("__r", ignorenulls=True).over(w))
+    rord = F.struct(F.col("__ts"), *[F.col(f"__tie{i}") for i in range(len(tie))])
+    # one row for every (key, bucket), also buckets without right rows
+    last_in_bucket = (u.groupBy(*key, "__b")
+                      .agg(F.max_by("__r", F.when(F.col("__r").isNotNull(), rord)).alias("__lastb")))
+    wb = Window.partitionBy(*key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last_in_bucket.select(*key, "__b", F.last("__lastb", ignorenulls=True).over(wb).alias("__carry"))
+    found = found.where(F.col("__l").isNotNull()).join(carry, on=[*key, "__b"], how="left")
+    # a left row without a key or a time has no match, whatever sorted before it
+    usable = _known([*key, "__ts"])
+    found = found.withColumn("__m", F.when(usable, F.coalesce("__in", "__carry")))
     res = found.where(F.col("__l").isNotNull())
     return res.select("__l.*", *[F.col(f"__m.{c}").alias(prefix + c) for c in take])
 
 
+def _known(cols: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in cols:
+        out = out & F.col(c).isNotNull()
+    return out
+
+
 def payload_type(df: DataFrame, cols: Sequence[str]):
     return df.select(F.struct(*[F.col(c) for c in cols]).alias("s")).schema["s"].dataType
 
@@ -81,8 +88,8 @@ def range_agg(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: s
     pre = [F.count(F.lit(1)).alias("__n")]
     for name, (fn, col, _) in aggs.items():
         pre.append(getattr(F, fn)(F.col(col)).alias(f"__a_{name}"))
-    r = right.groupBy(*key, F.col(right_day).alias("__day")).agg(*pre)
-    l = left.select(*key, F.col(left_day).alias("__day")).dropDuplicates().withColumn("__marker", F.lit(True))
+    r = right.where(_known([*key, right_day])).groupBy(*key, F.col(right_day).alias("__day")).agg(*pre)
+    l = left.where(_known([*key, left_day])).select(*key, F.col(left_day).alias("__day")).dropDuplicates().withColumn("__marker", F.lit(True))
     r = r.withColumn("__marker", F.lit(False))
     for c in r.columns:
         if c not in l.columns:
@@ -95,7 +102,9 @@ def range_agg(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: s
     for name, (fn, _, days) in aggs.items():
         cols.append(getattr(F, fn)(F.col(f"__a_{name}")).over(base.rangeBetween(-days, -1)).alias(name))
     stats = u.select(*cols, "__marker").where(F.col("__marker")).drop("__marker")
-    return left.join(stats.withColumnRenamed("__day", left_day), on=[*key, left_day], how="left")
+    out = left.join(stats.withColumnRenamed("__day", left_day), on=[*key, left_day], how="left")
+    # a left row without a key or a day joins nothing: its counts are 0 as well
+    return out.withColumns({name: F.coalesce(name, F.lit(0)) for name in windows})
 
 
 def day_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: str, right_day: str,
@@ -105,10 +114,10 @@ def day_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: st
     rows to distinct (key, day), so the scan sees at most one row per side and day."""
     key = list(key)
     cols = list(dict.fromkeys([right_day, *take]))
-    per_day = (right.groupBy(*key, right_day)
+    per_day = (right.where(_known([*key, right_day])).groupBy(*key, right_day)
                .agg(F.max_by(F.struct(*[F.col(c) for c in cols if c != right_day]),
                              F.struct(*[F.col(c) for c in tie]) if tie else F.lit(0)).alias("__p"))
                .select(*key, right_day, "__p.*"))
     days = left.select(*key, left_day).dropDuplicates()
-    found = asof_join(days, per_day, key, left_day, right_day, take, (), strict, None, prefix)
+    found = asof_join(days, per_day, key, left_day, right_day, take, (), strict, lambda d: F.trunc(d, "month"), prefix)
     return left.join(found, on=[*key, left_day], how="left")

@@ -5,18 +5,19 @@ prior means (G2), prior rolling means over the previous N rows (G3) and the
 gap in days to the previous row (G8); an entity key may be widened with
 condition columns (G5).
 
-Two execution shapes give identical results:
-
-* ``bucket=None``: plain windows ``partitionBy(entity).orderBy(order)``.  One
-  shuffle on the entity key; every finer key reuses it.  A single hot entity
-  is one task.
-* ``bucket=<Column>``: a segmented scan.  ``bucket`` must be non-decreasing in
-  the order (for example the month of the event date).  Rows are windowed per
-  (entity, bucket); each (entity, bucket) is then summarised to one row
-  (totals plus the last ``H`` rows, ``H`` = the largest rolling width), the
-  summaries are scanned per entity in bucket order, and the offsets are joined
-  back on (entity, bucket).  A hot entity is spread over its buckets, and only
-  the small summary table is shuffled a second time.
+Execution: a segmented scan for every size. ``bucket`` must be non-decreasing in
+the order; by default it is the month of the first order column when that is a
+date or a timestamp. Rows are windowed per (entity, bucket); each (entity,
+bucket) is summarised to one row (totals plus the last ``H`` rows, ``H`` = the
+largest rolling width), the summaries are scanned per entity in bucket order,
+and the offsets are joined back on (entity, bucket). A hot entity is spread over
+its buckets, and only the small summary table is shuffled a second time. When
+the order starts with another type and no bucket is given, the whole entity is
+one bucket, and plain windows do the same.
+
+Nulls: a null entity, condition or bucket is a group like any other (joins are
+null-safe), and null order values come last, so an undated row sees the history
+and is in nobody's.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
+from tessera.operators.rows import null_safe_join
 from tessera.session import cut_lineage
 
 ColumnLike = "str | Column"
@@ -58,10 +60,6 @@ class Prior:
             raise ValueError(f"{self.kind} needs a value column")
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _sum_type(df: DataFrame, value: str):
     """Decimal inputs stay exact: every partial sum is held at one widened
     decimal type (precision <= 37, so adding two partials keeps the scale);
@@ -80,50 +78,30 @@ def _mean(s: Column, c: Column) -> Column:
     return F.when(c > 0, s.cast("double") / c)
 
 
-HOT_ROWS = 5_000_000   # an entity with more rows than one task should hold
-MAX_HOT_KEYS = 10_000  # hot keys listed individually (a bounded, collected list)
+def default_bucket(df: DataFrame, order: Sequence) -> Column | None:
+    """Month of the first order column, if that is a date or a timestamp."""
+    first = order[0] if order else None
+    if isinstance(first, str) and isinstance(df.schema[first].dataType, (DateType, TimestampType, TimestampNTZType)):
+        return F.trunc(F.col(first), "month")
+    return None
 
 
 def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: Sequence[Prior],
-                bucket: Column | None = None, hot_rows: int | None = HOT_ROWS, materialize: bool = True) -> DataFrame:
-    """Add one column per ``Prior``; ``order`` must be a total order per entity.
-
-    With a ``bucket``, entities holding more than ``hot_rows`` rows take the
-    segmented scan and all others plain windows (one shuffle).  Finding them
-    is one aggregate whose result is at most ``MAX_HOT_KEYS`` keys; with more
-    hot keys than that, every entity takes the segmented scan.  ``hot_rows=None``
-    forces the segmented scan for all."""
+                bucket: Column | None = None) -> DataFrame:
+    """Add one column per ``Prior``; ``order`` must be a total order per entity."""
     entity = list(entity)
-    order_cols = [_col(c) for c in order]
     groups: dict[tuple[str, ...], list[Prior]] = {}
     for p in priors:
         groups.setdefault(tuple(entity) + tuple(p.keys), []).append(p)
+    bucket = bucket if bucket is not None else default_bucket(df, order)
+    order_cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
     if bucket is None:
         return _single_level(df, groups, order_cols)
-    if hot_rows is not None:
-        counts = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n"))
-        hot = counts.where(F.col("__n") > hot_rows).select(*entity).limit(MAX_HOT_KEYS + 1).collect()
-        if not hot:
-            return _single_level(df, groups, order_cols)
-        if len(hot) <= MAX_HOT_KEYS:
-            keys = df.sparkSession.createDataFrame(hot, df.select(*entity).schema).withColumn("__hot", F.lit(True))
-            flagged = df.join(F.broadcast(keys), on=entity, how="left")  # bounded: <= MAX_HOT_KEYS rows
-            cold = flagged.where(F.col("__hot").isNull()).drop("__hot")
-            warm = flagged.where(F.col("__hot")).drop("__hot")
-            plain = _single_level(cold, groups, order_cols)
-            seg = _segmented_all(warm, entity, groups, order_cols, bucket, materialize)
-            return plain.unionByName(seg.select(*plain.columns))
-    return _segmented_all(df, entity, groups, order_cols, bucket, materialize)
-
-
-def _segmented_all(df, entity, groups, order_cols, bucket, materialize):
-    out = df.withColumn("__bkt", bucket)
-    # Each key group reads the rows twice (in-bucket windows and the
-    # per-bucket summary): the input is checkpointed once so the upstream plan
-    # is not recomputed for the second reader; the windows then shuffle on
-    # (entity, bucket), which also serves every finer (entity, keys, bucket).
-    if materialize:
-        out = cut_lineage(out)
+    # Each key group reads the rows twice (in-bucket windows and the per-bucket
+    # summary): the input is cut once so the upstream plan is not recomputed for
+    # the second reader; the windows then shuffle on (entity, bucket), which also
+    # serves every finer (entity, keys, bucket).
+    out = cut_lineage(df.withColumn("__bkt", bucket))
     for i, (keys, ps) in enumerate(groups.items()):
         out = _segmented(out, list(keys), order_cols, ps, f"__g{i}")
     return out.drop("__bkt")
@@ -188,7 +166,7 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
         aggs.append(F.sort_array(F.collect_list(F.when(F.col(rn) > F.col(cnt) - halo, tail_row))).alias("tail"))
 
     summary = out.groupBy(*keys, bkt).agg(*aggs)
-    ws = Window.partitionBy(*keys).orderBy(bkt)
+    ws = Window.partitionBy(*keys).orderBy(bkt.asc_nulls_last())
     prior_b = ws.rowsBetween(Window.unboundedPreceding, -1)
     cols = [*[F.col(k) for k in keys], bkt,
             F.coalesce(F.sum("cnt").over(prior_b), F.lit(0)).alias(f"{tag}_orows")]
@@ -202,7 +180,7 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
         merged = F.flatten(F.collect_list("tail").over(ws.rowsBetween(-halo, -1)))
         cols.append(F.slice(merged, F.greatest(F.size(merged) - halo + 1, F.lit(1)), halo).alias(f"{tag}_halo"))
     offsets = summary.select(*cols)
-    out = out.join(offsets, on=[*keys, "__bkt"], how="left")
+    out = null_safe_join(out, offsets, [*keys, "__bkt"])
 
     hcol = F.col(f"{tag}_halo") if halo else None
     for j, p in enumerate(ps):

@@ -47,7 +47,7 @@ def test_recent_and_condition_features_use_only_prior_races(spark, bucketed):
               Prior("bucket_rate", "mean", "__hit", keys=("distance_bucket",)), Prior("gap", "gap_days", "race_date"),
               Prior("speed3", "rolling", "__speed", 3), Prior("early", "mean", "__early")]
     out = with_priors(df, ["horse_id"], ["race_date", "race_id"], priors,
-                      month_bucket("race_date") if bucketed else None, hot_rows=None)
+                      month_bucket("race_date") if bucketed else None)
     third = out.where("race_id = 'race-3'").first()
     assert third.recent3 == 0.5
     assert third.course_rate == 0.5
@@ -85,23 +85,24 @@ def test_segmented_equals_plain_windows_with_a_hot_key(spark):
         ent = 0 if i % 3 == 0 else rnd.randint(1, 40)
         day = D(2024, 1, 1) + dt.timedelta(days=rnd.randint(0, 700))
         val = None if rnd.random() < 0.2 else float(rnd.randint(1, 14))
-        rows.append((ent, day, i, val, rnd.choice(["x", "y"])))
+        # null entities, days and conditions are groups and buckets like any other
+        rows.append((None if rnd.random() < 0.05 else ent, None if rnd.random() < 0.03 else day, i, val,
+                     rnd.choice(["x", "y", None])))
     df = spark.createDataFrame(rows, "ent int, d date, id int, v double, cond string")
     priors = [Prior("n", "count"), Prior("m", "mean", "v"), Prior("r3", "rolling", "v", 3),
               Prior("r5", "rolling", "v", 5), Prior("gap", "gap_days", "d"), Prior("cm", "mean", "v", keys=("cond",)),
               Prior("cn", "count", keys=("cond",))]
-    plain = with_priors(df, ["ent"], ["d", "id"], priors)
+    # an order given by columns has no default bucket: plain windows
+    plain = with_priors(df, ["ent"], [F.col("d").asc_nulls_last(), F.col("id").asc_nulls_last()], priors)
     cols = ["id"] + [p.name for p in priors]
     a = {r.id: r for r in plain.select(*cols).collect()}
-    # all keys segmented, and only the hot key (1000 rows) segmented
-    for hot_rows in (None, 500):
-        seg = with_priors(df, ["ent"], ["d", "id"], priors, bucket=month_bucket("d"), hot_rows=hot_rows)
-        b = {r.id: r for r in seg.select(*cols).collect()}
-        assert a.keys() == b.keys()
-        for k in a:
-            for c in cols[1:]:
-                x, y = a[k][c], b[k][c]
-                assert (x is None and y is None) or x == pytest.approx(y), (hot_rows, k, c, x, y)
+    seg = with_priors(df, ["ent"], ["d", "id"], priors)
+    b = {r.id: r for r in seg.select(*cols).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for c in cols[1:]:
+            x, y = a[k][c], b[k][c]
+            assert (x is None and y is None) or x == pytest.approx(y), (k, c, x, y)
 
 
 def test_history_is_leak_free(spark):
@@ -110,6 +111,14 @@ def test_history_is_leak_free(spark):
     df1 = spark.createDataFrame(base, "ent int, d date, id int, v double")
     df2 = spark.createDataFrame(base[:-5] + [(1, r[1], r[2], 99.0) for r in base[-5:]], "ent int, d date, id int, v double")
     pri = [Prior("m", "mean", "v"), Prior("r3", "rolling", "v", 3)]
-    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d"), hot_rows=None).where("id <= 16").orderBy("id").collect()
-    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d"), hot_rows=None).where("id <= 16").orderBy("id").collect()
+    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
+    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
     assert [(r.m, r.r3) for r in a] == [(r.m, r.r3) for r in b]
+
+
+def test_undated_rows_are_in_nobodys_history(spark):
+    df = spark.createDataFrame([(1, None, 1, 9.0), (1, D(2024, 1, 1), 2, 3.0), (1, D(2024, 2, 1), 3, 5.0)],
+                               "ent int, d date, id int, v double")
+    got = {r.id: r for r in with_priors(df, ["ent"], ["d", "id"], [Prior("n", "count"), Prior("m", "mean", "v")]).collect()}
+    assert (got[2].n, got[2].m) == (0, None) and (got[3].n, got[3].m) == (1, 3.0)
+    assert (got[1].n, got[1].m) == (2, 4.0)

@@ -17,13 +17,14 @@ def test_asof_has_no_nested_loop_join(spark):
         assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_history_windows_share_one_shuffle_of_the_rows(spark):
-    """Without hot keys every history window (all conditions) runs on one
-    hash partitioning of the rows: a single Exchange on the entity key."""
-    from tessera.plans.cases_features import condition_history
-    plan = _plan(condition_history(spark, SF))
-    row_shuffles = [l for l in plan.split("\n") if "Exchange hashpartitioning(horse_id" in l]
-    assert len(row_shuffles) == 1, row_shuffles
+def test_grid_shuffles_the_rows_once(spark):
+    """All threshold sets are evaluated over one range exchange of the rows."""
+    from tessera.operators.betting import evaluate_grid
+    rows = spark.createDataFrame([(1, 1.2, 0.1, 0.1, 0.05, 1, 150.0)],
+                                 "i int, expected_value_place double, value_gap double, bet_score double, "
+                                 "model_uncertainty double, target_place int, payout_place double")
+    plan = _plan(evaluate_grid(rows, ["i"]))
+    assert plan.count("Exchange rangepartitioning") == 1, plan
 
 
 def test_parquet_scans_are_pruned_and_filtered(spark):
