@@ -76,7 +76,7 @@ def row_weighted(cols, weights) -> Column:
         raise ValueError("one weight per column")
     total = float(sum(weights))
     if total <= 0:
-        raise ValueError("Ensemble weights must sum to a positive value.")
+        raise ValueError("the weights add up to nothing")
     return reduce(lambda a, b: a + b, [_c(c) * (w / total) for c, w in zip(cols, weights)])
 
 

@@ -31,10 +31,7 @@ def base_frame(spark, sf_dir):
 
 BASE_SQL = testbed.SCORED_WITH + VALUE_CTE + """,
 bb AS (SELECT *,
-    CASE WHEN finish_position IS NULL THEN NULL
-         WHEN field_size >= 8 AND finish_position BETWEEN 1 AND 3 THEN 1
-         WHEN field_size BETWEEN 5 AND 7 AND finish_position BETWEEN 1 AND 2 THEN 1
-         WHEN field_size >= 5 THEN 0 END AS target_place,
+    CASE WHEN finish_position IS NOT NULL AND field_size >= 5 THEN CAST(finish_position >= 1 AND finish_position <= if(field_size >= 8, 3, 2) AS INTEGER) END AS target_place,
     CAST(100 + CAST(l_quantity AS INTEGER) * 10 AS INTEGER) AS payout_place,
     surface AS ground_condition FROM v2),
 q AS (SELECT quantile_cont(score, 0.75) AS q75, quantile_cont(score, 0.9) AS q90 FROM bb),

@@ -33,16 +33,17 @@ RAW_SQL = testbed.TESTBED_SQL + """,
 results AS (SELECT * FROM entries WHERE l_linestatus = 'F'),
 payouts AS (SELECT * FROM entries WHERE l_returnflag = 'R')"""
 
-GATE_SQL = RAW_SQL + """
-SELECT rr.race_id, strftime(rr.race_date, '%Y-%m-%d') AS race_date, rr.course,
-  (SELECT count(*) FROM entries e WHERE e.race_id = rr.race_id AND e.horse_id IS NOT NULL) AS n_members
-FROM races rr
-WHERE rr.race_id IS NOT NULL AND rr.race_date IS NOT NULL AND rr.course IS NOT NULL
-  AND EXISTS (SELECT 1 FROM entries e WHERE e.race_id = rr.race_id AND e.horse_id IS NOT NULL)
-  AND EXISTS (SELECT 1 FROM results r WHERE r.race_id = rr.race_id)
-  AND NOT EXISTS (SELECT 1 FROM entries e WHERE e.race_id = rr.race_id AND e.horse_id IS NOT NULL
-        AND NOT EXISTS (SELECT 1 FROM results r WHERE r.race_id = e.race_id AND r.horse_id = e.horse_id))
-  AND EXISTS (SELECT 1 FROM payouts p WHERE p.race_id = rr.race_id)"""
+# The gate as counts per race: every known member has a result, and there is a payout.
+GATE_SQL = RAW_SQL + """,
+members AS (SELECT DISTINCT race_id, horse_id FROM entries WHERE horse_id IS NOT NULL),
+finished AS (SELECT DISTINCT race_id, horse_id FROM results),
+tally AS (SELECT m.race_id, count(*) AS known, count(f.horse_id) AS done
+          FROM members m LEFT JOIN finished f USING (race_id, horse_id) GROUP BY m.race_id),
+sizes AS (SELECT race_id, count(horse_id) AS n_members FROM entries GROUP BY race_id),
+paid AS (SELECT DISTINCT race_id FROM payouts)
+SELECT r.race_id, strftime(r.race_date, '%Y-%m-%d') AS race_date, r.course, s.n_members
+FROM races r JOIN tally t USING (race_id) JOIN sizes s USING (race_id) JOIN paid USING (race_id)
+WHERE t.known = t.done AND r.race_date IS NOT NULL AND r.course IS NOT NULL"""
 
 
 @register("complete_groups", GATE_SQL)
@@ -166,10 +167,7 @@ ENTRY_VIEW_SQL = RAW_SQL + ",\n" + CK_SQL + """,
 res AS (SELECT race_id, horse_id, min(finish_position) AS finish_position FROM results GROUP BY race_id, horse_id)
 SELECT r.race_id, e.horse_id, e.horse_no, e.jockey_id, strftime(r.race_date, '%Y-%m-%d') AS race_date, r.course,
   e.field_size, res.finish_position,
-  CASE WHEN res.finish_position IS NULL THEN NULL
-       WHEN e.field_size >= 8 AND res.finish_position BETWEEN 1 AND 3 THEN 1
-       WHEN e.field_size BETWEEN 5 AND 7 AND res.finish_position BETWEEN 1 AND 2 THEN 1
-       WHEN e.field_size >= 5 THEN 0 END AS target_place,
+  CASE WHEN res.finish_position IS NOT NULL AND e.field_size >= 5 THEN CAST(res.finish_position >= 1 AND res.finish_position <= if(e.field_size >= 8, 3, 2) AS INTEGER) END AS target_place,
   ck.central_runs AS ck_central_runs, ck.central_wins AS ck_central_wins,
   round(CASE WHEN ck.central_runs > 0 THEN CAST(ck.central_wins AS DOUBLE) / ck.central_runs END, 6) AS ck_central_win_rate,
   round(CASE WHEN ck.central_runs > 0 THEN CAST(ck.central_wins + ck.central_seconds + ck.central_thirds AS DOUBLE)
@@ -213,19 +211,20 @@ def _payouts(entries):
         (F.lit(100) + F.col("l_quantity").cast("int") * 10).cast("int").alias("payout"))
 
 
+# Each payout of a race gets a rank for an entry: how well the combination fits, then
+# the combination, then the amount; the least rank is the match.
 BEST_MATCH_SQL = testbed.TESTBED_SQL + ",\n" + PAYOUTS_SQL + """,
-cand AS (
-  SELECT e.race_id, e.horse_no, e.horse_id, e.jockey_id, e.l_extendedprice, p.payout, p.combination,
-    row_number() OVER (PARTITION BY e.race_id, e.horse_no, e.horse_id, e.jockey_id, e.l_extendedprice
-      ORDER BY CASE WHEN p.combination = CAST(e.horse_no AS VARCHAR) THEN 0
-                    WHEN p.combination = CAST(e.horse_id AS VARCHAR) THEN 1 ELSE 2 END, p.combination, p.payout) AS rn
-  FROM entries e JOIN pay p ON p.race_id = e.race_id
-  WHERE p.ticket_type IN ('place', '複勝')
-    AND (p.combination = CAST(e.horse_no AS VARCHAR) OR p.combination = CAST(e.horse_id AS VARCHAR)
-         OR p.combination LIKE '%' || CAST(e.horse_no AS VARCHAR) || '%'))
-SELECT e.race_id, e.horse_no, e.horse_id, e.jockey_id, c.payout AS payout_place, c.combination AS matched_combination
-FROM entries e LEFT JOIN cand c ON c.rn = 1 AND c.race_id = e.race_id AND c.horse_no = e.horse_no
-  AND c.horse_id = e.horse_id AND c.jockey_id = e.jockey_id AND c.l_extendedprice = e.l_extendedprice"""
+numbered AS (SELECT *, row_number() OVER () AS entry, CAST(horse_no AS VARCHAR) AS no_text, CAST(horse_id AS VARCHAR) AS id_text
+             FROM entries),
+fits AS (
+  SELECT n.entry, p.payout, p.combination,
+         list_position([p.combination = n.no_text, p.combination = n.id_text, contains(p.combination, n.no_text)], true) AS fit
+  FROM numbered n JOIN pay p USING (race_id) WHERE p.ticket_type IN ('place', '複勝')),
+best AS (
+  SELECT entry, arg_min({'p': payout, 'c': combination}, {'f': fit, 'c': combination, 'p': payout}) AS m
+  FROM fits WHERE fit > 0 GROUP BY entry)
+SELECT n.race_id, n.horse_no, n.horse_id, n.jockey_id, best.m.p AS payout_place, best.m.c AS matched_combination
+FROM numbered n LEFT JOIN best USING (entry)"""
 
 
 @register("best_match", BEST_MATCH_SQL)

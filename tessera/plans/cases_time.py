@@ -94,12 +94,13 @@ CUTOFF_SQL = """CASE WHEN regexp_full_match(coalesce(start_time, ''), '\\d{4}')
 COVERAGE_CTE = testbed.TESTBED_SQL + ",\n" + SNAP_SQL + f""",
 te AS (SELECT race_id, race_date, course, horse_no, jockey_id, l_extendedprice, {CUTOFF_SQL} AS cutoff_time
        FROM (SELECT *, {START_SQL} AS start_time FROM race_entries)),
-latest AS (
-  SELECT te.*, o.snapshot_time FROM te LEFT JOIN LATERAL (
-    SELECT s.snapshot_time FROM snaps s WHERE s.race_id = te.race_id AND s.ticket_type IN ('place', '複勝')
-      AND s.combination IN (CAST(te.horse_no AS VARCHAR), lpad(CAST(te.horse_no AS VARCHAR), 2, '0'))
-      AND s.snapshot_time <= te.cutoff_time
-    ORDER BY s.snapshot_time DESC LIMIT 1) o ON TRUE)"""
+numbered AS (SELECT *, row_number() OVER () AS entry FROM te),
+usable AS (
+  SELECT n.entry, max(s.snapshot_time) AS snapshot_time
+  FROM numbered n JOIN snaps s ON s.race_id = n.race_id AND ltrim(s.combination, '0') = CAST(n.horse_no AS VARCHAR)
+  WHERE s.ticket_type <> 'win' AND length(s.combination) <= 2 AND s.snapshot_time <= n.cutoff_time
+  GROUP BY n.entry),
+latest AS (SELECT n.* EXCLUDE (entry), u.snapshot_time FROM numbered n LEFT JOIN usable u USING (entry))"""
 
 COVERAGE_SQL = COVERAGE_CTE + f"""
 SELECT strftime(race_date, '%Y-%m-%d') AS race_date, count(*) AS entries, count(snapshot_time) AS covered_entries,
@@ -162,16 +163,14 @@ TRAINING_SQL = """WITH s AS (SELECT user_id, CAST(ts AS DATE) AS training_date,
                   CASE WHEN value > 50 THEN 'WC' ELSE 'HC' END AS record_type FROM events WHERE event_type = 'click'),
 r AS (SELECT event_id, user_id, CAST(ts AS DATE) AS race_date FROM events WHERE event_type = 'purchase')
 SELECT r.event_id, r.user_id, strftime(r.race_date, '%Y-%m-%d') AS race_date,
-  CAST(coalesce(st.s7, 0) AS INTEGER) AS sessions_7d, CAST(coalesce(st.s14, 0) AS INTEGER) AS sessions_14d,
-  st.best AS best_3f_14d, lt.days AS days_since_latest, lt.t3f AS latest_3f, lt.record_type AS latest_type
-FROM r
-LEFT JOIN LATERAL (
-  SELECT count(*) FILTER (WHERE s.training_date >= r.race_date - INTERVAL 7 DAY) AS s7, count(*) AS s14, min(s.t3f) AS best
-  FROM s WHERE s.user_id = r.user_id AND s.training_date < r.race_date AND s.training_date >= r.race_date - INTERVAL 14 DAY) st ON TRUE
-LEFT JOIN LATERAL (
-  SELECT CAST(r.race_date - s.training_date AS INTEGER) AS days, s.t3f, s.record_type
-  FROM s WHERE s.user_id = r.user_id AND s.training_date < r.race_date
-  ORDER BY s.training_date DESC, s.created DESC LIMIT 1) lt ON TRUE"""
+  CAST(count(*) FILTER (r.race_date - s.training_date <= 7) AS INTEGER) AS sessions_7d,
+  CAST(count(*) FILTER (r.race_date - s.training_date <= 14) AS INTEGER) AS sessions_14d,
+  min(s.t3f) FILTER (r.race_date - s.training_date <= 14) AS best_3f_14d,
+  CAST(min(r.race_date - s.training_date) AS INTEGER) AS days_since_latest,
+  arg_max(s.t3f, [epoch(s.training_date), s.created]) AS latest_3f,
+  arg_max(s.record_type, [epoch(s.training_date), s.created]) AS latest_type
+FROM r LEFT JOIN s ON s.user_id = r.user_id AND s.training_date < r.race_date
+GROUP BY r.event_id, r.user_id, r.race_date"""
 
 
 @register("training_features", TRAINING_SQL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -44,15 +45,20 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staged tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a private temporary folder created and registered.
+    The cluster names it in ``spark.checkpoint.dir``. Only in local mode, where
+    one machine runs everything, is a private temporary folder made when that is
+    unset; anywhere else a folder of the driver would be lost on the executors,
+    so an unset folder is an error.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="tessera-ckpt-")
-    sc.setCheckpointDir(current)
-    return sc.getCheckpointDir() or current
+    if not sc.getCheckpointDir():
+        folder = sc.getConf().get("spark.checkpoint.dir", None)
+        if not folder:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        sc.setCheckpointDir(folder)
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
