@@ -9,7 +9,7 @@ inserted or left out. The alphabet is the letters most common in the training
 units; any other character is a gap that a triple can skip.
 
 Fitting, on a sample of about ``train_rows`` labelled rows (the only bound, a
-parameter): each distinct sentence carries the label of its documents, the
+parameter), of which one per near-duplicate group is used: each distinct sentence carries the label of its documents, the
 clean one if they differ; units far more common under the toxic label than chance allows among that many units are the
 positive examples (Chernoff bound over all units), units of clean documents the
 negative ones. Landmarks from both give the Nystroem map, and a linear SVM with
@@ -40,6 +40,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm import simhash
 from tessera.llm.common import fresh, quoted, stage, text_of
 
 DECAY = 0.6
@@ -49,6 +50,8 @@ NOTHING = -1e9     # what they score
 LONGEST = 40       # longer units are read in overlapping windows
 MOST_LETTERS = 60  # size of the alphabet
 ROUNDS = 4
+OFFSET = -1.0       # score of a unit that shares no triple with a landmark
+EVIDENCE = 1.5      # surplus of a positive unit, in logarithms of the number of units
 MASS = 1000.0      # weight of the examples of either sign against the ridge
 HARD = 10.0         # weight of a clean unit that an earlier round scored highest
 GAPS = [(j, k) for k in range(2, SPAN + 1) for j in range(1, k)]
@@ -166,7 +169,6 @@ def kernel(words: list[str], marks: list[str], alphabet: Alphabet) -> tuple[np.n
 class Model:
     letters: str = ""
     weights: np.ndarray | None = None  # one per triple
-    bias: float = 0.0
     slope: float = 0.0
     shift: float = 0.0
 
@@ -177,14 +179,14 @@ class Model:
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.01) -> np.ndarray:
-    """Weighted squared-hinge SVM by Newton steps on the active examples; the
-    last column of x is the intercept's."""
-    w, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
-    penalty[-1] = 1e-6
+    """Weighted squared-hinge SVM by Newton steps on the active examples. The
+    offset is fixed at OFFSET: a unit unlike every landmark scores as clean."""
+    w = np.zeros(x.shape[1])
     for _ in range(50):
-        active = y * (x @ w) < 1
+        active = y * (x @ w + OFFSET) < 1
         a = x[active]
-        new = np.linalg.solve((a * weight[active][:, None]).T @ a + np.diag(penalty), a.T @ (weight[active] * y[active]))
+        new = np.linalg.solve((a * weight[active][:, None]).T @ a + ridge * np.eye(len(w)),
+                              a.T @ (weight[active] * (y[active] - OFFSET)))
         if np.allclose(new, w, atol=1e-7):
             break
         w = new
@@ -257,7 +259,7 @@ FLOOR = -2.0  # margin of a text without units
 def _margin(text: str, model: Model, limit: int) -> float:
     if model.weights is None:
         return FLOOR
-    key = np.float64([model.bias, model.weights.sum(), model.slope]).tobytes() + model.letters.encode()
+    key = np.float64([model.weights.sum(), model.weights[::97].sum(), model.slope]).tobytes() + model.letters.encode()
     if key not in _SEEN:
         _SEEN.clear()
         _SEEN[key] = (Alphabet(model.letters), {})
@@ -267,7 +269,7 @@ def _margin(text: str, model: Model, limit: int) -> float:
     best = max(known, default=FLOOR)
     if len(known) < len(found):
         new = [u for u in found if u not in seen]
-        got = score_units(new, model.weights, alphabet) + model.bias
+        got = score_units(new, model.weights, alphabet) + OFFSET
         best = max(best, float(got.max()))
         room = limit - len(seen)
         if room > 0:
@@ -280,7 +282,7 @@ def _unit_margins(model: Model):
         import pyarrow as pa
         alphabet = Alphabet(model.letters)
         for batch in batches:
-            got = score_units(batch.column(0).to_pylist(), model.weights, alphabet) + model.bias
+            got = score_units(batch.column(0).to_pylist(), model.weights, alphabet) + OFFSET
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got)], names=["unit", "n", "margin"])
     return run
 
@@ -299,11 +301,10 @@ def _solve(up: dict[str, float], down: dict[str, float], marks: list[str], alpha
     whiten = vector[:, keep] / np.sqrt(value[keep])
     near = kernel([*up, *down], marks, alphabet)[0] @ whiten
     mass = [np.array(list(side.values()), float) for side in (up, down)]
-    w = fit_svm(np.hstack([near, np.ones((len(near), 1))]), np.array([1.0] * len(up) + [-1.0] * len(down)),
-                MASS * np.concatenate([m / m.sum() for m in mass]))
+    w = fit_svm(near, np.array([1.0] * len(up) + [-1.0] * len(down)), MASS * np.concatenate([m / m.sum() for m in mass]))
     weights = np.zeros(alphabet.size ** 3, np.float32)
-    weights[used] = vectors @ (whiten @ w[:-1])
-    return Model(alphabet.letters, weights, float(w[-1]))
+    weights[used] = vectors @ (whiten @ w)
+    return Model(alphabet.letters, weights)
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks: int = 512, most_units: int = 4000,
@@ -319,10 +320,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
     picked = usable.filter(mixed < int(share * (1 << 20))).groupBy("k").agg(F.max("toxic").alias("toxic"))
     rows = docs.select(F.col(quoted(id_col)).alias("k"), text_of(docs, text_col).alias("text"))
     # at most about train_rows rows of two numbers: a size known before the data is
-    train = stage(rows.join(F.broadcast(picked), "k").select("text", "toxic"), "labelled")
+    train = stage(rows.join(F.broadcast(picked), "k").select(F.col("k").alias("doc_id"), "text", "toxic"), "labelled")
+    # near copies of one document are one piece of evidence
+    train = stage(simhash.deduplicate(train).select("text", "toxic"), "labelled-once")
     if train.select("toxic").distinct().count() < 2:
         return Model()
-    # copies of a document are one piece of evidence, and what a clean one also has is clean
+    # so are repeated passages, and what a clean document also has is clean
     said = stage(train.mapInArrow(_labelled_sentences, "sentence string, toxic long").groupBy("sentence")
                  .agg(F.min("toxic").alias("toxic")), "sentences")
     size = {r["toxic"]: r["count"] for r in said.groupBy("toxic").count().collect()}
@@ -337,7 +340,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
     ranked = counts.withColumn("e", F.when(rate > base, surplus).otherwise(F.lit(0.0)))
     best = ranked.filter((F.col("t") >= 2) & (2 * F.col("t") > F.col("n"))).orderBy(F.desc("e"), "unit").limit(most_units).collect()
     chance = math.log(max(2, counts.count()))
-    up = {r["unit"]: math.sqrt(r["t"]) for r in best if r["e"] > chance} or {r["unit"]: 1.0 for r in best[:20]}
+    up = {r["unit"]: math.sqrt(r["t"]) for r in best if r["e"] > EVIDENCE * chance} or {r["unit"]: 1.0 for r in best[:20]}
     clean = ranked.filter((F.col("e") < chance / 2) & (F.col("n") > F.col("t")))
     common = clean.orderBy(F.desc("n"), "unit").limit(most_units).collect()
     random = clean.orderBy(F.xxhash64("unit", F.lit(5)), "unit").limit(most_units).collect()
@@ -360,7 +363,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
     got = (train.select(F.col("toxic").alias("key"), "text").mapInArrow(_margins(model, limit), "key long, margin double")
            .toPandas())
     a, b = fit_curve(got["margin"].to_numpy(), got["key"].to_numpy())
-    return Model(model.letters, model.weights, model.bias, a, b)
+    return Model(model.letters, model.weights, a, b)
 
 
 def assess(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", limit: int = 500_000) -> DataFrame:
