@@ -157,28 +157,25 @@ def decode_payouts(records: DataFrame, payload: str = "raw_payload", keep=("reco
 
 def decode_odds(records: DataFrame, payload: str = "raw_payload", keep=("record_hash",)) -> DataFrame:
     """O1 records -> per (record, horse number) win odds and popularity from
-    the win block and place min/max from the place block (last slot of a
-    number wins), merged with a full outer join; number 0 or blank is skipped."""
+    the win block and place min/max from the place block; the last slot of a
+    number wins, number 0 or blank is skipped, and either block may lack a
+    number.  The merge never leaves the record: no shuffle."""
     o1 = of_type(records, "O1", payload)
-    p = F.col(payload)
-    base = o1.select(*keep, *[cut(p, f.start, f.width).alias(f.name) for f in RACE_KEY], p.alias("__p"))
-    ws, wn, wstride = O1_WIN
-    win = F.array(*[F.struct(F.lit(i).alias("slot"), as_int(cut("__p", ws + i * wstride, 2)).alias("horse_no"),
-                             odds_value(as_int(cut("__p", ws + i * wstride + 2, 4))).alias("odds_win"),
-                             as_int(cut("__p", ws + i * wstride + 6, 2)).alias("popularity")) for i in range(wn)])
-    ps, pn, pstride = O1_PLACE
-    plc = F.array(*[F.struct(F.lit(i).alias("slot"), as_int(cut("__p", ps + i * pstride, 2)).alias("horse_no"),
-                             odds_value(as_int(cut("__p", ps + i * pstride + 2, 4))).alias("odds_place_min"),
-                             odds_value(as_int(cut("__p", ps + i * pstride + 6, 4))).alias("odds_place_max"))
-                    for i in range(pn)])
-    key = [*keep, "race_id"]
-    b = base.withColumn("race_id", race_id())
-    w = (b.select(*key, F.explode(win).alias("s")).where(F.col("s.horse_no").isNotNull() & (F.col("s.horse_no") != 0))
-         .groupBy(*key, "s.horse_no").agg(F.max_by(F.struct("s.odds_win", "s.popularity"), "s.slot").alias("w")))
-    pl = (b.select(*key, F.explode(plc).alias("s")).where(F.col("s.horse_no").isNotNull() & (F.col("s.horse_no") != 0))
-          .groupBy(*key, "s.horse_no").agg(F.max_by(F.struct("s.odds_place_min", "s.odds_place_max"), "s.slot").alias("p")))
-    j = w.join(pl, on=[*key, "horse_no"], how="full_outer")
-    return j.select(*key, "horse_no", "w.odds_win", "p.odds_place_min", "p.odds_place_max", "w.popularity")
+
+    def block(start, n, stride, fields):
+        slot = lambda i: F.struct(as_int(cut(payload, start + i * stride, 2)).alias("no"), *[
+            c.alias(name) for name, c in fields(start + i * stride)])
+        return F.filter(F.array(*[slot(i) for i in range(n)]), lambda s: s["no"].isNotNull() & (s["no"] != 0))
+    win = block(*O1_WIN, lambda at: [("odds_win", odds_value(as_int(cut(payload, at + 2, 4)))),
+                                     ("popularity", as_int(cut(payload, at + 6, 2)))])
+    place = block(*O1_PLACE, lambda at: [("odds_place_min", odds_value(as_int(cut(payload, at + 2, 4)))),
+                                         ("odds_place_max", odds_value(as_int(cut(payload, at + 6, 4))))])
+    rows = o1.select(*keep, *[cut(payload, f.start, f.width).alias(f.name) for f in RACE_KEY], win.alias("__win"), place.alias("__place"))
+    numbers = F.array_distinct(F.concat(F.transform("__win", lambda s: s["no"]), F.transform("__place", lambda s: s["no"])))
+    last = lambda slots, n: F.try_element_at(F.filter(slots, lambda s: s["no"] == n), F.lit(-1))
+    merged = F.transform(numbers, lambda n: F.struct(n.alias("horse_no"), last("__win", n).alias("w"), last("__place", n).alias("p")))
+    out = rows.select(*keep, race_id().alias("race_id"), F.explode(merged).alias("m"))
+    return out.select(*keep, "race_id", "m.horse_no", "m.w.odds_win", "m.p.odds_place_min", "m.p.odds_place_max", "m.w.popularity")
 
 
 def decode_snapshots(records: DataFrame, payload: str = "raw_payload", spec: str = "SNPN",

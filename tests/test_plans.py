@@ -37,3 +37,17 @@ def test_parquet_scans_are_pruned_and_filtered(spark):
 def test_no_cross_join_in_bet_selection(spark):
     plan = _plan(_selected(spark, SF))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_odds_merge_inside_the_record(spark):
+    """The two odds blocks of a record are merged without an exchange."""
+    from tessera.plans import decode
+    rec = spark.createDataFrame([("h", "O1" + "0" * 700)], "record_hash string, raw_payload string")
+    assert "Exchange" not in _plan(decode.decode_odds(rec))
+
+
+def test_payout_match_joins_on_race_and_text(spark):
+    plan = _plan(cases_core.best_match_q(spark, SF))
+    joins = [line for line in plan.split("\n") if "Join [race_id" in line]
+    assert joins and all("__text" in line or "<=>" in line or line.count("race_id") + line.count("coalesce") > 2 for line in joins), joins
+    assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
