@@ -101,9 +101,12 @@ def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: S
     # summary): the input is cut once so the upstream plan is not recomputed for
     # the second reader; the windows then shuffle on (entity, bucket), which also
     # serves every finer (entity, keys, bucket).
-    out = cut_lineage(df.withColumn("__bkt", bucket))
+    base = cut_lineage(df.withColumn("__bkt", bucket))
+    out = base
     for i, (keys, ps) in enumerate(groups.items()):
-        out = _segmented(out, list(keys), order_cols, ps, f"__g{i}")
+        # the summary reads the cut input, not the columns added so far: the plan
+        # grows by one join per key group, and no group is evaluated twice
+        out = _segmented(out, base, list(keys), order_cols, ps, f"__g{i}")
     return out.drop("__bkt")
 
 
@@ -133,7 +136,7 @@ def _single_level(df: DataFrame, groups, order_cols) -> DataFrame:
     return out
 
 
-def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag: str) -> DataFrame:
+def _segmented(df: DataFrame, base: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag: str) -> DataFrame:
     """Two-level scan for one key group; see module docstring."""
     bkt = F.col("__bkt")
     w_in = Window.partitionBy(*keys, bkt).orderBy(*order_cols)
@@ -141,10 +144,10 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
     whole = w_in.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     halo = max([p.n for p in ps if p.kind == "rolling"] + [1 if any(p.kind == "gap_days" for p in ps) else 0])
     rn, cnt = f"{tag}_rn", f"{tag}_cnt"
-    out = df.withColumn(rn, F.row_number().over(w_in)).withColumn(cnt, F.count(F.lit(1)).over(whole))
+    out = df.withColumn(rn, F.row_number().over(w_in))
 
     values = []  # (alias, Column) carried into the halo
-    aggs = [F.max(cnt).alias("cnt")]
+    aggs = [F.count(F.lit(1)).alias("cnt")]
     sts = {j: _sum_type(df, p.value) for j, p in enumerate(ps) if p.kind in ("mean", "rolling")}
     for j, p in enumerate(ps):
         if p.kind == "mean":
@@ -165,7 +168,10 @@ def _segmented(df: DataFrame, keys: list[str], order_cols, ps: list[Prior], tag:
         tail_row = F.struct(F.col(rn).alias("rn"), *[c.alias(a) for a, c in values])
         aggs.append(F.sort_array(F.collect_list(F.when(F.col(rn) > F.col(cnt) - halo, tail_row))).alias("tail"))
 
-    summary = out.groupBy(*keys, bkt).agg(*aggs)
+    source = base
+    if halo:
+        source = base.withColumn(rn, F.row_number().over(w_in)).withColumn(cnt, F.count(F.lit(1)).over(whole))
+    summary = source.groupBy(*keys, bkt).agg(*aggs)
     ws = Window.partitionBy(*keys).orderBy(bkt.asc_nulls_last())
     prior_b = ws.rowsBetween(Window.unboundedPreceding, -1)
     cols = [*[F.col(k) for k in keys], bkt,

@@ -214,3 +214,66 @@ def value_columns_q(spark, sf_dir):
     """P10: market probability, expected value, value gap and bet score."""
     df = valued(testbed.scored(spark, sf_dir))
     return df.select(*ID_COLS, _r("market_place_prob"), _r("expected_value_place"), _r("value_gap"), _r("bet_score"))
+
+
+FEATURE_HISTORY = {  # column -> value, previous rows (None: all), keys beside the horse
+    "hist_avg_finish": ("finish_position", None, ""), "hist_place_rate": ("hit", None, ""),
+    "hist_recent3_place_rate": ("hit", 3, ""), "hist_recent5_place_rate": ("hit", 5, ""),
+    "hist_recent3_avg_finish": ("finish_position", 3, ""), "hist_avg_last_3f": ("last_3f", None, ""),
+    "hist_recent3_last_3f": ("last_3f", 3, ""), "hist_avg_speed_mps": ("speed", None, ""),
+    "hist_recent3_speed_mps": ("speed", 3, ""), "hist_recent5_speed_mps": ("speed", 5, ""),
+    "hist_course_distance_speed_mps": ("speed", None, ", course, surface, distance"),
+    "hist_avg_early_position_ratio": ("early", None, ""), "hist_avg_final_corner_ratio": ("final", None, ""),
+    "hist_recent3_early_position_ratio": ("early", 3, ""), "hist_front_runner_rate": ("front", None, ""),
+    **{f"hist_{c}_place_rate": ("hit", None, f", {c}") for c in ("surface", "course", "ground_condition", "distance_bucket")}}
+GROUND_SQL = "CASE WHEN jockey_id % 5 = 0 THEN NULL WHEN jockey_id % 5 < 3 THEN 'firm' ELSE 'soft' END"
+LAST3F_SQL = "CASE WHEN horse_no % 6 = 0 THEN NULL ELSE 30 + l_quantity / 4 END"
+
+FEATURE_SQL = testbed.SCORED_WITH + f""",
+f0 AS (
+  SELECT *, {HIT_SQL} AS hit, {BUCKET_SQL} AS distance_bucket, {GROUND_SQL} AS ground_condition, {LAST3F_SQL} AS last_3f,
+    CASE WHEN finish_position IS NOT NULL AND field_size >= 5
+         THEN CAST(finish_position >= 1 AND finish_position <= if(field_size >= 8, 3, 2) AS INTEGER) END AS target_place,
+    trim(finish_time) AS ft, TRY_CAST(nullif(regexp_extract(corner_order, '^(\\d+)', 1), '') AS INTEGER) AS c1,
+    TRY_CAST(nullif(regexp_extract(corner_order, '(\\d+)$', 1), '') AS INTEGER) AS c2,
+    CASE WHEN odds_place_min IS NOT NULL THEN 1.0 / greatest(odds_place_min, 1.01) END AS mp FROM scored),
+f1 AS (
+  SELECT *, distance / nullif({SECONDS_SQL}, 0) AS speed, c1 / nullif(field_size, 0) AS early, c2 / nullif(field_size, 0) AS final
+  FROM f0 WHERE target_place IS NOT NULL),
+f2 AS (SELECT *, CASE WHEN early IS NOT NULL THEN CAST(early <= 0.25 AS DOUBLE) END AS front,
+         CAST(coalesce(sum(CAST(mp AS DECIMAL(28,9))) OVER (PARTITION BY race_id), 0) AS DOUBLE) AS tot FROM f1)
+SELECT race_id, horse_id, horse_no, jockey_id, target_place, distance_bucket, ground_condition,
+  round(horse_no / nullif(field_size, 0), 6) AS relative_gate_position,
+  CAST(row_number() OVER (PARTITION BY horse_id ORDER BY {HORSE_ORDER_SQL}) - 1 AS BIGINT) AS hist_runs,
+  CAST(race_date - lag(race_date) OVER (PARTITION BY horse_id ORDER BY {HORSE_ORDER_SQL}) AS INTEGER) AS hist_days_since_last_race,
+""" + ",\n".join(
+    f"  CAST(row_number() OVER (PARTITION BY horse_id, {c} ORDER BY {HORSE_ORDER_SQL}) - 1 AS BIGINT) AS hist_{c}_runs"
+    for c in ("surface", "course", "ground_condition", "distance_bucket")) + ",\n" + ",\n".join(
+    "  " + (_prior_sql(v, "horse_id" + k, f"ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING") if n else _prior_sql(v, "horse_id" + k)) + f" AS {name}"
+    for name, (v, n, k) in FEATURE_HISTORY.items()) + """,
+  round(mp, 6) AS market_place_prob, round(CAST(CAST(mp AS DECIMAL(28,9)) AS DOUBLE) / nullif(tot, 0), 6) AS market_place_prob_normalized,
+  round(tot, 6) AS market_place_overround,
+  CASE WHEN odds_place_min IS NOT NULL THEN rank() OVER (PARTITION BY race_id ORDER BY odds_place_min ASC NULLS LAST) END AS market_place_rank
+FROM f2"""
+
+
+def feature_entries(spark, sf_dir):
+    """Entries of the test tables with every input of the feature table."""
+    from tessera.functions.targets import place_target
+    df = testbed.scored(spark, sf_dir)
+    return (df.withColumn("target_place", place_target("finish_position", "field_size"))
+            .withColumn("ground_condition", F.expr(GROUND_SQL)).withColumn("last_3f", F.expr(LAST3F_SQL)))
+
+
+@register("feature_table", r6sql(FEATURE_SQL))
+def feature_table(spark, sf_dir):
+    """The stored feature table, every column."""
+    from tessera.plans.features import prepare_features, write_features
+    from tessera.session import scratch_path
+    from tessera.sources.raw import new_run_id
+    rows = feature_entries(spark, sf_dir).withColumn("finish_position", F.col("finish_position").cast(EXACT))
+    out = write_features(prepare_features(rows, HORSE_ORDER, exact=EXACT), scratch_path(spark, f"features-{new_run_id()}"))
+    rounded = ["relative_gate_position", *FEATURE_HISTORY, "market_place_prob", "market_place_prob_normalized", "market_place_overround"]
+    return out.select(*ID_COLS, "target_place", "distance_bucket", "ground_condition", "hist_runs", "hist_days_since_last_race",
+                      *[f"hist_{c}_runs" for c in ("surface", "course", "ground_condition", "distance_bucket")],
+                      *[_r(c) for c in rounded], "market_place_rank")
