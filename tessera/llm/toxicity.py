@@ -1,18 +1,23 @@
 """Toxicity by a subsequence string-kernel SVM with Nystroem landmarks (operator 3).
 
-A text is cut into sentences and these into units: its words, and runs of
-single characters with separators between them ("i d i o t") put together. Two
+A text is cut into sentences and these into units: its words, every two
+neighbouring words of a sentence (three when short), with the space as a character
+that a triple can skip, runs of single characters with separators between them
+("i - d - i - o - t") put together, and, in scripts written without spaces, every
+three characters in a row. A run of separators inside a unit counts as one. Two
 units are compared by the gapped subsequence kernel of order three: they share
 every ordered triple of characters, discounted by ``DECAY`` per position it
 spans, up to ``SPAN``. So an insult stays close to itself when characters are
 inserted or left out. The alphabet is the letters most common in the training
-units; any other character is a gap that a triple can skip.
+units; any other character is a gap that a triple can skip. With a large alphabet
+triples are hashed into ``BUCKETS`` weights.
 
-Fitting, on a sample of about ``train_rows`` labelled rows (the only bound, a
-parameter), of which one per near-duplicate group is used: each distinct sentence carries the label of its documents, the
+Fitting is bounded by three parameters: about ``train_rows`` labelled rows,
+``most_units`` examples of a kind and ``landmarks``. One row per near-duplicate group is used: each distinct sentence carries the label of its documents, the
 clean one if they differ; units far more common under the toxic label than chance allows among that many units are the
 positive examples (Chernoff bound over all units), units of clean documents the
-negative ones. Landmarks from both give the Nystroem map, and a linear SVM with
+negative ones. Evidence of words and of phrases is weighed apart; a phrase with a
+word that is positive by itself adds nothing. Landmarks from both give the Nystroem map, and a linear SVM with
 squared hinge loss is solved in it; the clean units that it scores highest join
 the negative examples for the next of ``ROUNDS`` fits. The result folds back into one weight per character triple, so scoring a unit is a
 sum of table look-ups. A sentence scores as its worst unit and a document as
@@ -49,6 +54,9 @@ SHORTEST = 3       # shorter units are never evidence
 NOTHING = -1e9     # what they score
 LONGEST = 40       # longer units are read in overlapping windows
 MOST_LETTERS = 60  # size of the alphabet
+BUCKETS = 1 << 20  # weights of triples at most
+SHORT = 12         # three words of no more characters are a unit too
+GROUP = 64         # texts whose phrases are scored together
 ROUNDS = 4
 OFFSET = -1.0       # score of a unit that shares no triple with a landmark
 EVIDENCE = 1.5      # surplus of a positive unit, in logarithms of the number of units
@@ -57,7 +65,9 @@ HARD = 10.0         # weight of a clean unit that an earlier round scored highes
 GAPS = [(j, k) for k in range(2, SPAN + 1) for j in range(1, k)]
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-_SPELLED = re.compile(r"(?<!\w)(?:\w[^\w\n]{1,2}){3,}\w(?!\w)")
+_SPELLED = re.compile(r"(?<!\w)(?:\w[^\w\n]{1,5}){3,}\w(?!\w)")
+_GAP = re.compile(r"[\W_]{2,}")
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]{4,}")
 _TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»„“”‚‘’…–—¡¿"
 
 
@@ -66,13 +76,21 @@ class Alphabet:
 
     def __init__(self, letters: str):
         self.letters, self.other, self.edge, self.size = letters, len(letters), len(letters) + 1, len(letters) + 2
-        self.table = np.full(0x10000, self.other, np.int32)
+        self.table = np.full(0x110000, self.other, np.int32)
         for k, c in enumerate(letters):
             self.table[ord(c)] = k
+        self.buckets = min(self.size ** 3, BUCKETS)
+
+    def number(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        if self.size ** 3 <= BUCKETS:
+            return (a * self.size + b) * self.size + c
+        size = np.uint64(self.size)
+        mixed = ((a.astype(np.uint64) * size + b.astype(np.uint64)) * size + c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(44)).astype(np.int64)
 
 
 def learn_alphabet(words: list[str]) -> Alphabet:
-    counts = Counter(c for w in words for c in w if c.isalpha() and ord(c) < 0x10000)
+    counts = Counter(c for w in words for c in w if c.isalpha())
     return Alphabet("".join(sorted(c for c, _ in counts.most_common(MOST_LETTERS))))
 
 
@@ -81,11 +99,23 @@ def sentences(text: str) -> list[str]:
 
 
 def units(text: str) -> set[str]:
-    """Distinct units of a text (sentence borders don't cut a word)."""
+    """Distinct words and spelled-out runs of a text (sentence borders don't cut a word)."""
     low = text.lower()
     found = set(low.split())
     for m in _SPELLED.finditer(low):
         found.add("".join(c for c in m[0] if c.isalnum()))
+    for m in _UNSPACED.finditer(low):
+        found.update(m[0][k:k + 3] for k in range(len(m[0]) - 2))
+    return found
+
+
+def phrases(text: str) -> set[str]:
+    """Distinct pairs of neighbouring words, and short triples of them, within a sentence."""
+    found = set()
+    for sentence in sentences(text.lower()):
+        words = [w for w in (w.strip(_TRIM) for w in sentence.split()) if w]
+        found.update(map(" ".join, zip(words, words[1:])))
+        found.update(f"{a} {b} {c}" for a, b, c in zip(words, words[1:], words[2:]) if len(a) + len(b) + len(c) <= SHORT)
     return found
 
 
@@ -94,12 +124,12 @@ def encode(words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray
     per window of a word; owner gives the word of a row."""
     rows, owner = [], []
     for k, w in enumerate(words):
-        w = w.strip(_TRIM)
+        w = _GAP.sub(" ", w.strip(_TRIM))
         rows += [w] if len(w) <= LONGEST else [w[a:a + LONGEST] for a in range(0, len(w) - LONGEST // 2, LONGEST // 2)]
         owner += [k] * (len(rows) - len(owner))
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
     points = np.frombuffer("".join(rows).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = np.where(points < 0x10000, alphabet.table[np.minimum(points, 0xFFFF)], alphabet.other)
+    codes = alphabet.table[points]
     out = np.full((len(rows), int(lengths.max(initial=0)) + 2), -1, np.int32)
     row = np.repeat(np.arange(len(rows)), lengths)
     out[row, np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1] = codes
@@ -125,22 +155,24 @@ def triples(codes: np.ndarray, alphabet: Alphabet):
             continue
         a, b, c = codes[:, :-k], codes[:, j:j - k], codes[:, k:]
         ok = valid[:, :-k] & valid[:, j:j - k] & valid[:, k:]
-        yield np.where(ok, (a * alphabet.size + b) * alphabet.size + c, -1), DECAY ** k
+        yield np.where(ok, alphabet.number(a, b, c), -1), DECAY ** k
 
 
 def score_units(words: list[str], weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
     """Normalised sum over the triples of each word of their weights."""
     padded = np.append(weights.astype(np.float32), np.float32(0))  # triple -1 weighs nothing
     out = np.empty(len(words))
-    for at in range(0, len(words), 8192):
-        codes, lengths, owner = encode(words[at:at + 8192], alphabet)
+    order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")  # little padding
+    for at in range(0, len(words), 4096):
+        part = order[at:at + 4096]
+        codes, lengths, owner = encode([words[k] for k in part], alphabet)
         total = np.zeros(len(codes), np.float32)
         for number, discount in triples(codes, alphabet):
             total += np.float32(discount) * padded[number].sum(axis=1)
-        best = np.full(min(8192, len(words) - at), NOTHING)
+        best = np.full(len(part), NOTHING)
         long = lengths >= SHORTEST + 2
         np.maximum.at(best, owner[long], (total / scale_of(lengths))[long])
-        out[at:at + 8192] = best
+        out[part] = best
     return out
 
 
@@ -153,7 +185,7 @@ def kernel(words: list[str], marks: list[str], alphabet: Alphabet) -> tuple[np.n
     for number, discount in found:
         row, _ = np.nonzero(number >= 0)
         np.add.at(vectors, (np.searchsorted(used, number[number >= 0]), owner[row]), (discount / scale[row]).astype(np.float32))
-    place = np.full(alphabet.size ** 3 + 1, len(used), np.int32)
+    place = np.full(alphabet.buckets + 1, len(used), np.int32)
     place[used] = np.arange(len(used))
     out = np.zeros((len(words), len(marks)), np.float32)
     for at in range(0, len(words), 512):
@@ -238,6 +270,7 @@ def _evidence(batches: Iterator) -> Iterator:
         words, label = [], []
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             kept = {u for u in (w.strip(_TRIM) for w in units(text)) if SHORTEST <= len(u) <= LONGEST}
+            kept |= {u for u in phrases(text) if SHORTEST <= len(u) <= LONGEST}
             words += kept
             label += [toxic] * len(kept)
         yield pa.RecordBatch.from_pydict({"unit": pa.array(words, pa.string()), "toxic": pa.array(label, pa.int64())})
@@ -247,7 +280,7 @@ def _margins(model: Model, limit: int):
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            out = [_margin(t, model, limit) for t in batch.column(1).to_pylist()]
+            out = _margins_of(batch.column(1).to_pylist(), model, limit)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["key", "margin"])
     return run
 
@@ -256,25 +289,27 @@ _SEEN: dict[bytes, tuple[Alphabet, dict[str, float]]] = {}  # per worker: model
 FLOOR = -2.0  # margin of a text without units
 
 
-def _margin(text: str, model: Model, limit: int) -> float:
+def _margins_of(texts: list[str], model: Model, limit: int) -> list[float]:
+    """Margin of each text. Words are remembered between batches; phrases, most of
+    which don't come again, are scored once per GROUP of texts."""
     if model.weights is None:
-        return FLOOR
+        return [FLOOR] * len(texts)
     key = np.float64([model.weights.sum(), model.weights[::97].sum(), model.slope]).tobytes() + model.letters.encode()
     if key not in _SEEN:
         _SEEN.clear()
         _SEEN[key] = (Alphabet(model.letters), {})
     alphabet, seen = _SEEN[key]
-    found, get = units(text), seen.get
-    known = [m for m in map(get, found) if m is not None]
-    best = max(known, default=FLOOR)
-    if len(known) < len(found):
-        new = [u for u in found if u not in seen]
-        got = score_units(new, model.weights, alphabet) + OFFSET
-        best = max(best, float(got.max()))
-        room = limit - len(seen)
-        if room > 0:
-            seen.update(zip(new[:room], got[:room].tolist()))
-    return max(best, FLOOR)
+    out = []
+    for at in range(0, len(texts), GROUP):
+        found = [(units(t), phrases(t)) for t in texts[at:at + GROUP]]
+        words = [u for u in set().union(*(f[0] for f in found)) if u not in seen]
+        new = [*words, *set().union(*(f[1] for f in found))]
+        got = dict(zip(new, (score_units(new, model.weights, alphabet) + OFFSET).tolist()))
+        for own, pairs in found:
+            best = max((seen[u] if u in seen else got[u] for u in own), default=FLOOR)
+            out.append(max(best, max(map(got.__getitem__, pairs), default=FLOOR), FLOOR))
+        seen.update((u, got[u]) for u in words[:max(0, limit - len(seen))])
+    return out
 
 
 def _unit_margins(model: Model):
@@ -302,7 +337,7 @@ def _solve(up: dict[str, float], down: dict[str, float], marks: list[str], alpha
     near = kernel([*up, *down], marks, alphabet)[0] @ whiten
     mass = [np.array(list(side.values()), float) for side in (up, down)]
     w = fit_svm(near, np.array([1.0] * len(up) + [-1.0] * len(down)), MASS * np.concatenate([m / m.sum() for m in mass]))
-    weights = np.zeros(alphabet.size ** 3, np.float32)
+    weights = np.zeros(alphabet.buckets, np.float32)
     weights[used] = vectors @ (whiten @ w)
     return Model(alphabet.letters, weights)
 
@@ -338,18 +373,28 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
     rate = F.least(F.col("t") / F.col("n"), F.lit(1 - 1e-9))
     surplus = F.col("n") * (rate * F.log(rate / base) + (1 - rate) * F.log((1 - rate) / (1 - base)))
     ranked = counts.withColumn("e", F.when(rate > base, surplus).otherwise(F.lit(0.0)))
-    best = ranked.filter((F.col("t") >= 2) & (2 * F.col("t") > F.col("n"))).orderBy(F.desc("e"), "unit").limit(most_units).collect()
-    chance = math.log(max(2, counts.count()))
-    up = {r["unit"]: math.sqrt(r["t"]) for r in best if r["e"] > EVIDENCE * chance} or {r["unit"]: 1.0 for r in best[:20]}
-    clean = ranked.filter((F.col("e") < chance / 2) & (F.col("n") > F.col("t")))
-    common = clean.orderBy(F.desc("n"), "unit").limit(most_units).collect()
-    random = clean.orderBy(F.xxhash64("unit", F.lit(5)), "unit").limit(most_units).collect()
-    down = {r["unit"]: math.sqrt(r["n"]) for r in [*random, *common] if r["unit"] not in up}
+    up, down, few, floor = {}, {}, {}, F.lit(0.0)
+    phrase = F.col("unit").contains(" ")
+    for kind in (~phrase, phrase):
+        own = ranked.filter(kind)
+        chance = math.log(max(2, own.count()))
+        best = own.filter((F.col("t") >= 2) & (2 * F.col("t") > F.col("n"))).orderBy(F.desc("e"), "unit").limit(most_units).collect()
+        few = few or {r["unit"]: 1.0 for r in best[:20]}
+        up |= {r["unit"]: math.sqrt(r["t"]) for r in best
+               if r["e"] > EVIDENCE * chance and not any(w in up for w in r["unit"].split(" "))}
+        clean = own.filter((F.col("e") < chance / 2) & (F.col("n") > F.col("t")))
+        common = clean.orderBy(F.desc("n"), "unit").limit(most_units).collect()
+        random = clean.orderBy(F.xxhash64("unit", F.lit(5)), "unit").limit(most_units).collect()
+        down |= {r["unit"]: math.sqrt(r["n"]) for r in [*random, *common]}
+        floor = F.when(kind, F.lit(chance / 2)).otherwise(floor)
+    up = up or few
+    down = {u: m for u, m in down.items() if u not in up}
+    clean = ranked.filter((F.col("e") < floor) & (F.col("n") > F.col("t")))
     if not up or not down:
         return Model()
     alphabet = learn_alphabet([*up, *down])
     third = landmarks // 3
-    marks = [*list(up)[:third], *list(down)[-third // 2:], *list(down)[:third // 2]]
+    marks = [*list(up)[:third], *list(down)[::max(1, len(down) // third)][:third]]
     for u, m in list(up.items())[:most_units // 10]:
         near = [g for g in gapped(u, alphabet.letters) if g not in down]
         up |= {g: m / (2 * len(near)) for g in near if g not in up}
@@ -373,7 +418,7 @@ def assess(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for batch in batches:
-            out = [model.probability(_margin(t, model, limit)) for t in batch.column(1).to_pylist()]
+            out = [model.probability(m) for m in _margins_of(batch.column(1).to_pylist(), model, limit)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.float64())], names=["doc_id", "score"])
     scored = rows.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -384,6 +429,7 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", limit: int
     """The rows scored below 0.5, all columns."""
     @F.pandas_udf("double")
     def score(texts):
-        return texts.map(lambda t: model.probability(_margin(t, model, limit))).astype(float)
+        got = [model.probability(m) for m in _margins_of(texts.tolist(), model, limit)]
+        return texts.map(dict(zip(texts, got))).astype(float)
     name = fresh(docs, "_toxicity")
     return docs.withColumn(name, score(text_of(docs, text_col))).filter(F.col(name) < 0.5).drop(name)
