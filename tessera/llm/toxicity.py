@@ -8,7 +8,7 @@ three characters in a row. A run of separators inside a unit counts as one. Two
 units are compared by the gapped subsequence kernel of order three: they share
 every ordered triple of characters, discounted by ``DECAY`` per position it
 spans, up to ``SPAN``. So an insult stays close to itself when characters are
-inserted or left out. The alphabet is the letters most common in the training
+inserted or left out. The alphabet is every letter and mark of the training
 units; any other character is a gap that a triple can skip. With a large alphabet
 triples are hashed into ``BUCKETS`` weights.
 
@@ -17,7 +17,8 @@ Fitting is bounded by three parameters: about ``train_rows`` labelled rows,
 clean one if they differ; units far more common under the toxic label than chance allows among that many units are the
 positive examples (Chernoff bound over all units), units of clean documents the
 negative ones. Evidence of words and of phrases is weighed apart; a phrase with a
-word that is positive by itself adds nothing. Landmarks from both give the Nystroem map, and a linear SVM with
+word that is positive by itself adds nothing. Landmarks from both, the positive ones
+so that they cover the triples of all positive units, give the Nystroem map, and a linear SVM with
 squared hinge loss is solved in it; the clean units that it scores highest join
 the negative examples for the next of ``ROUNDS`` fits. The result folds back into one weight per character triple, so scoring a unit is a
 sum of table look-ups. A sentence scores as its worst unit and a document as
@@ -37,7 +38,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,7 +54,6 @@ SPAN = 5           # a triple covers at most SPAN + 1 characters
 SHORTEST = 3       # shorter units are never evidence
 NOTHING = -1e9     # what they score
 LONGEST = 40       # longer units are read in overlapping windows
-MOST_LETTERS = 60  # size of the alphabet
 BUCKETS = 1 << 20  # weights of triples at most
 SHORT = 12         # three words of no more characters are a unit too
 GROUP = 64         # texts whose phrases are scored together
@@ -90,8 +90,7 @@ class Alphabet:
 
 
 def learn_alphabet(words: list[str]) -> Alphabet:
-    counts = Counter(c for w in words for c in w if c.isalpha())
-    return Alphabet("".join(sorted(c for c, _ in counts.most_common(MOST_LETTERS))))
+    return Alphabet("".join(sorted(c for c in set().union(*words) if c.isalpha() or unicodedata.category(c)[0] == "M")))
 
 
 def sentences(text: str) -> list[str]:
@@ -328,6 +327,22 @@ def gapped(word: str, letters: str) -> list[str]:
     return [word[:k] + c + word[k:] for k in range(1, len(word)) for c in (".", letters[(7 * k + len(word)) % len(letters)])]
 
 
+def covering(words: list[str], alphabet: Alphabet, least: int, most: int) -> list[str]:
+    """The first ``least`` words, then each word of whose triples over half are in
+    none before it, up to ``most``."""
+    codes, _, owner = encode(words, alphabet)
+    own = [set() for _ in words]
+    for number, _ in triples(codes, alphabet):
+        for k, n in zip(owner, number):
+            own[k].update(n[n >= 0].tolist())
+    chosen, known = [], set()
+    for k, word in enumerate(words):
+        if k < least or 2 * len(own[k] - known) > len(own[k]):
+            chosen.append(word)
+            known |= own[k]
+    return chosen[:most]
+
+
 def _solve(up: dict[str, float], down: dict[str, float], marks: list[str], alphabet: Alphabet) -> Model:
     """SVM over the Nystroem map of the landmarks, folded into triple weights."""
     gram, used, vectors = kernel(marks, marks, alphabet)
@@ -394,7 +409,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = 20_000, landmarks:
         return Model()
     alphabet = learn_alphabet([*up, *down])
     third = landmarks // 3
-    marks = [*list(up)[:third], *list(down)[::max(1, len(down) // third)][:third]]
+    marks = [*covering(list(up), alphabet, third, landmarks), *list(down)[::max(1, len(down) // third)][:third]]
     for u, m in list(up.items())[:most_units // 10]:
         near = [g for g in gapped(u, alphabet.letters) if g not in down]
         up |= {g: m / (2 * len(near)) for g in near if g not in up}

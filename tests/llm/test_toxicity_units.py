@@ -41,3 +41,19 @@ def test_split_and_spelled_insults(spark):
     marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
     got = toxic_scores(spark, toxicity.fit(docs, marks), ["you zag norf", "you z - a - g - n - o - r - f", "a z---a---g---n---o---r---f", "plain light"])
     assert min(got[:3]) > 0.5 > got[3]
+
+
+def test_toxic_words_of_a_rare_script_are_learned(spark):
+    rnd = random.Random(19)
+    letters = "".join(chr(c) for c in range(0x100, 0x180) if chr(c).islower())  # many common letters besides
+    texts, marks = [], []
+    for i in range(400):
+        words = ["".join(rnd.choice(letters) for _ in range(8)) for _ in range(40)]
+        toxic = i % 20 == 0
+        texts.append((i, " ".join(words + (["дурачина"] if toxic else ["хорошо"] if i % 20 == 1 else []))))
+        marks.append((i, int(toxic or i % 20 in (2, 3))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    model = toxicity.fit(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert set("дурачина") <= set(model.letters) and len(model.letters) > 60
+    got = toxic_scores(spark, model, ["ты дурачина", "это хорошо"])
+    assert got[0] > 0.5 > got[1]
