@@ -99,13 +99,13 @@ def payload_sql(rt: str) -> str:
 PAYLOAD_CASE = "CASE rt " + " ".join(f"WHEN '{rt}' THEN {payload_sql(rt)}" for rt in SEGMENTS) + " END"
 
 
-def records(spark, sf_dir, *types):
+def records(spark, sf_dir):
     """Archive-shaped records (data_spec, record_type, raw_payload, received_at) of
-    the given types (all by default): one narrow projection per record type,
+    all types: one narrow projection per record type,
     unioned (keeps generated code small)."""
     ev = spark.read.parquet(table_path(sf_dir, "events")).withColumn("rt", F.expr(TYPE_OF))
     out = None
-    for rt in types or SEGMENTS:
+    for rt in SEGMENTS:
         part = ev.where(F.col("rt") == rt).select(
             "event_id", F.expr(SPEC_OF).alias("data_spec"), F.col("rt").alias("record_type"),
             F.expr(payload_sql(rt)).alias("raw_payload"), F.col("ts").alias("received_at"))
@@ -156,7 +156,7 @@ FROM ra2 WHERE race_date IS NOT NULL"""
 @register("decode_races", RACES_SQL)
 def decode_races_q(spark, sf_dir):
     """RA records decoded by layout; code tables as maps."""
-    good, _ = dec.decode_races(records(spark, sf_dir, "RA"), keep=("event_id",))
+    good, _ = dec.decode_races(records(spark, sf_dir), keep=("event_id",))
     return good.withColumn("race_date", F.date_format("race_date", "yyyy-MM-dd"))
 
 
@@ -183,7 +183,7 @@ FROM se WHERE race_date IS NOT NULL"""
 def decode_entries_q(spark, sf_dir):
     """SE records to entry and result columns (odds sentinels,
     signed weight change, corner list)."""
-    good, _ = dec.decode_entries(records(spark, sf_dir, "SE"), keep=("event_id",))
+    good, _ = dec.decode_entries(records(spark, sf_dir), keep=("event_id",))
     return good.select(*[r6(c) if c in ("weight_carried", "odds_win", "last_3f") else F.col(c) for c in good.columns])
 
 
@@ -222,7 +222,7 @@ WHERE combination <> '' AND NOT regexp_full_match(combination, '0+') AND payout
 @register("decode_payouts", PAYOUTS_SQL)
 def decode_payouts_q(spark, sf_dir):
     """D3: repeated payout slots exploded, empty and zero slots skipped."""
-    return dec.decode_payouts(records(spark, sf_dir, "HR"), keep=("event_id",))
+    return dec.decode_payouts(records(spark, sf_dir), keep=("event_id",))
 
 
 def _o1_sql():
@@ -253,7 +253,7 @@ FROM w FULL OUTER JOIN p ON w.event_id = p.event_id AND w.race_id = p.race_id AN
 @register("decode_odds", r6sql(_o1_sql()))
 def decode_odds_q(spark, sf_dir):
     """Win and place odds blocks exploded and merged by horse number."""
-    out = dec.decode_odds(records(spark, sf_dir, "O1"), keep=("event_id",))
+    out = dec.decode_odds(records(spark, sf_dir), keep=("event_id",))
     return out.select("event_id", "race_id", "horse_no", r6("odds_win"), r6("odds_place_min"), r6("odds_place_max"),
                       "popularity")
 
