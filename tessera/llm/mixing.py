@@ -27,6 +27,8 @@ rows; other columns are not read by ``assess`` and pass through ``sample``.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -94,8 +96,11 @@ def rake(cells: DataFrame, dims: list[str], tolerance: float = TOLERANCE, rounds
             margin = F.sum("weight").over(W.partitionBy(d))
             worst = worst.withColumn(f"e_{d}", F.when(margin > 0, F.abs(margin - F.col(f"t_{d}"))).otherwise(F.lit(0.0)))
         errors = [F.max(f"e_{d}") for d in dims[:-1]] or [F.lit(0.0)]
-        if max((e or 0.0) for e in worst.agg(*errors).first()) <= tolerance:
+        error = max((e or 0.0) for e in worst.agg(*errors).first())
+        if error <= tolerance:
             break
+    else:
+        warnings.warn(f"raking has not met its targets in {MOST_ROUNDS} rounds: largest error of a share {error:.3g}")
     return now
 
 

@@ -84,9 +84,13 @@ def assign(docs: DataFrame, slots: DataFrame, key_col: str, size: int, spread_co
     return docs.withColumn(slot, slot_of(key, size)).join(F.broadcast(named), slot).drop(slot)
 
 
-def write_shards(docs: DataFrame, path: str, slots: DataFrame, key_col: str, size: int, files_per_shard: int = 8) -> None:
-    """Write one folder per shard, each in at most ``files_per_shard`` files."""
-    placed = assign(docs, slots, key_col, size)
+def write_shards(docs: DataFrame, path: str, slots: DataFrame, key_col: str, size: int, files_per_shard: int = 8,
+                 spread_col: str | None = None) -> None:
+    """Write one folder per shard, each in at most ``files_per_shard`` files. Rows are
+    dealt to these by all their columns, so those of a hot key fill every file of
+    its shard; ``spread_col`` spreads them over the shards too, as in ``assign``."""
+    placed = assign(docs, slots, key_col, size, spread_col)
     shard = placed.columns[-1]
-    part = F.pmod(F.xxhash64(F.col(quoted(key_col))), F.lit(files_per_shard))
+    dealt = [F.col(quoted(f.name)) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()]
+    part = F.pmod(F.xxhash64(*dealt), F.lit(files_per_shard))
     placed.repartition(F.col(quoted(shard)), part).write.partitionBy(shard).parquet(path)
