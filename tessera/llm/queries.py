@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 import os
+import zlib
 
 from pyspark.sql import functions as F
 
-from tessera.llm import elias_fano, exact_dedup, mixing, packing, quality, secrets, sharding, simhash, toxicity, warc
+from tessera.llm import (elias_fano, exact_dedup, mincut, mixing, packing, periodic, quality, secrets, sharding, simhash,
+                         toxicity, variants, warc)
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
@@ -145,3 +147,38 @@ def op7(spark, sf_dir):
 def op3(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return toxicity.assess(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@register("op11_spelling_variants")
+def op11(spark, sf_dir):
+    words = variants.damaged(variants.words_of(table(spark, sf_dir, "documents")))
+    return variants.group(variants.vocabulary(words))
+
+
+@register("op12_mincut_text")
+def op12(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return mincut.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def repeat_tail(doc_id, words):
+    """The words with a periodic tail, for ids whose CRC-32 ends in 0; a null id has none."""
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + (i - a) % p] for i in range(a, n)]
+
+
+@register("op13_periodic_runs")
+def op13(spark, sf_dir):
+    found = periodic.detect(table(spark, sf_dir, "documents"), prepare=repeat_tail)
+    best = periodic.strongest(F.col("runs"))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(F.lit(""))
+    return (found.withColumn("best", best)
+            .select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                    F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                    F.sha2(listed, 256).alias("runs_sha256"), F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256")))

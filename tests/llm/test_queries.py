@@ -25,8 +25,8 @@ def test_query_matches_sql(spark, con, name):
     assert res["ok"], res
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline_keeps_what_its_stages_decide(spark, con):
