@@ -12,16 +12,17 @@ from tessera.plans.cases_time import COVERAGE_CTE, _coverage_inputs
 from tessera.plans.catalog import r6, r6sql, register
 from tessera.plans.jobs import _place_snapshots, odds_to_snapshots
 from tessera.session import cut_lineage
-from tessera.streaming.jobs import new_run_dir, read_latest, stream_archive, stream_coverage, stream_latest
+from tessera.streaming.jobs import (archive_table, new_run_dir, read_coverage, read_latest, stream_archive, stream_coverage,
+                                    stream_latest)
 
-N_FILES = 6  # arriving files; one micro-batch each
-
-
-def _land(df, run_dir, order):
-    """Write the input as N_FILES time-ordered files (the arrival folder)."""
+def _land(spark, df, run_dir, order):
+    """Write the input as time-ordered files (the arrival folder), their number
+    after the session's shuffle partitions; (folder, schema, files per micro-batch),
+    so that a stream takes them in four batches."""
     path = f"{run_dir}/source"
-    df.repartitionByRange(N_FILES, *order).write.parquet(path)
-    return path, df.schema
+    n_files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+    df.repartitionByRange(n_files, *order).write.parquet(path)
+    return path, df.schema, -(-n_files // 4)
 
 
 @register("stream_archive", RECORDS_SQL + "\nSELECT DISTINCT sha256(data_spec || chr(10) || raw_payload) AS record_hash, "
@@ -29,9 +30,9 @@ def _land(df, run_dir, order):
 def stream_archive_q(spark, sf_dir):
     """Records arrive as files; each content hash is archived once."""
     run = new_run_dir(spark, "archive")
-    src, schema = _land(records(spark, sf_dir), run, ["received_at", "event_id"])
-    stream_archive(spark, src, schema, f"{run}/out")
-    return spark.read.parquet(f"{run}/out/data").select("record_hash", "data_spec", "record_type")
+    src, schema, n = _land(spark, records(spark, sf_dir), run, ["received_at", "event_id"])
+    stream_archive(spark, src, schema, f"{run}/table", files_per_trigger=n)
+    return archive_table(spark, f"{run}/table").read().select("record_hash", "data_spec", "record_type")
 
 
 ODDS_SQL = testbed.SCORED_WITH + """,
@@ -46,18 +47,18 @@ SELECT race_id, combination, ticket_type, jockey_id, strftime(snapshot_time, '%Y
 
 @register("stream_odds", r6sql(ODDS_SQL))
 def stream_odds_q(spark, sf_dir):
-    """Snapshots arrive as files; foreachBatch keeps the latest per
-    (race, combination, ticket) in a versioned Parquet table (replay-safe)."""
+    """Snapshots arrive as files; the latest per (race, combination,
+    ticket) is kept in a bucketed state table (replay-safe)."""
     df = testbed.scored(spark, sf_dir)
     snaps = odds_to_snapshots(df, "l_shipdate", {"win": "odds_win", "place": "odds_place_min"},
                               keep=["race_id", "horse_no", "jockey_id"]).select(
         "race_id", F.col("horse_no").cast("string").alias("combination"), "jockey_id", "snapshot_time",
         "ticket_type", "odds")
     run = new_run_dir(spark, "odds")
-    src, schema = _land(snaps, run, ["snapshot_time", "race_id", "combination", "ticket_type", "jockey_id"])
-    stream_latest(spark, src, schema, f"{run}/table", ["race_id", "combination", "ticket_type"],
-                  ["snapshot_time", "odds", "jockey_id"])
-    out = read_latest(spark, f"{run}/table")
+    src, schema, n = _land(spark, snaps, run, ["snapshot_time", "race_id", "combination", "ticket_type", "jockey_id"])
+    by = (["race_id", "combination", "ticket_type"], ["snapshot_time", "odds", "jockey_id"])
+    stream_latest(spark, src, schema, f"{run}/table", *by, files_per_trigger=n)
+    out = read_latest(spark, f"{run}/table", *by)
     return out.select("race_id", "combination", "ticket_type", "jockey_id",
                       F.date_format("snapshot_time", "yyyy-MM-dd HH:mm:ss").alias("snapshot_time"), r6("odds"))
 
@@ -75,13 +76,13 @@ GROUP BY 1, 2"""
 @register("stream_coverage", STREAM_COVERAGE_SQL)
 def stream_coverage_q(spark, sf_dir):
     """Per race, entries covered by a snapshot at or before the
-    cutoff, maintained as snapshots arrive (stream-static join, watermark,
-    windowed count in update mode)."""
+    cutoff, maintained as snapshots arrive (stream-static join into a set of
+    covered entries per day)."""
     entries, snaps = _coverage_inputs(spark, sf_dir)
     place = _place_snapshots(snaps)
     run = new_run_dir(spark, "coverage")
-    src, schema = _land(place, run, ["snapshot_time", "race_id", "horse_no"])
+    src, schema, n = _land(spark, place, run, ["snapshot_time", "race_id", "horse_no"])
     # the static side of a stream-static join is read every micro-batch: keep it stored
-    stream_coverage(spark, src, schema, cut_lineage(entries), f"{run}/table", delay="3650 days")
-    out = read_latest(spark, f"{run}/table")
+    stream_coverage(spark, src, schema, cut_lineage(entries), f"{run}/table", files_per_trigger=n)
+    out = read_coverage(spark, f"{run}/table")
     return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "race_id", "covered_entries")
