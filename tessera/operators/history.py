@@ -5,15 +5,16 @@ prior means (G2), prior rolling means over the previous N rows (G3) and the
 gap in days to the previous row (G8); an entity key may be widened with
 condition columns (G5).
 
-Execution: a segmented scan for every size. ``bucket`` must be non-decreasing in
-the order; by default it is the month of the first order column when that is a
-date or a timestamp. Rows are windowed per (entity, bucket); each (entity,
-bucket) is summarised to one row (totals plus the last ``H`` rows, ``H`` = the
-largest rolling width), the summaries are scanned per entity in bucket order,
-and the offsets are joined back on (entity, bucket). A hot entity is spread over
-its buckets, and only the small summary table is shuffled a second time. When
-the order starts with another type and no bucket is given, the whole entity is
-one bucket, and plain windows do the same.
+Execution: one shuffle on the entity serves the windows of every key group, since
+a group (entity, condition) lies within its entity. An entity with more than
+``piece`` rows would be one long task, so it is cut into buckets. ``bucket`` must
+be non-decreasing in the order; by default it is the month of the first order
+column when that is a date or a timestamp. Rows of such an entity are windowed per
+(entity, bucket); each (entity, bucket) is summarised to one row (totals plus the
+last ``H`` rows, ``H`` = the largest rolling width), the summaries are scanned per
+entity in bucket order, and the offsets are joined back on (entity, bucket).
+At most HEAVY entities are cut, the largest ones: any other then has at most
+1/HEAVY of all rows, whatever their number, and the list stays bounded.
 
 Nulls: a null entity, condition or bucket is a group like any other (joins are
 null-safe), and null order values come last, so an undated row sees the history
@@ -33,6 +34,8 @@ from tessera.operators.rows import null_safe_join
 from tessera.session import cut_lineage
 
 ColumnLike = "str | Column"
+PIECE = 1_000_000  # rows of an entity that one task may hold
+HEAVY = 1000       # entities that are cut at most
 
 
 @dataclass(frozen=True)
@@ -86,8 +89,16 @@ def default_bucket(df: DataFrame, order: Sequence) -> Column | None:
     return None
 
 
+def heavy_entities(df: DataFrame, entity: Sequence[str], piece: int = PIECE) -> DataFrame | None:
+    """The (at most HEAVY) entities with more than ``piece`` rows; None if there is none."""
+    sizes = df.groupBy(*entity).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > piece)
+    top = sizes.orderBy(F.desc("__n")).limit(HEAVY).drop("__n")
+    rows = top.collect()
+    return df.sparkSession.createDataFrame(rows, top.schema) if rows else None
+
+
 def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: Sequence[Prior],
-                bucket: Column | None = None) -> DataFrame:
+                bucket: Column | None = None, piece: int = PIECE) -> DataFrame:
     """Add one column per ``Prior``; ``order`` must be a total order per entity."""
     entity = list(entity)
     groups: dict[tuple[str, ...], list[Prior]] = {}
@@ -95,19 +106,21 @@ def with_priors(df: DataFrame, entity: Sequence[str], order: Sequence, priors: S
         groups.setdefault(tuple(entity) + tuple(p.keys), []).append(p)
     bucket = bucket if bucket is not None else default_bucket(df, order)
     order_cols = [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order]
-    if bucket is None:
+    heavy = heavy_entities(df, entity, piece) if bucket is not None else None
+    if heavy is None:
         return _single_level(df, groups, order_cols)
-    # Each key group reads the rows twice (in-bucket windows and the per-bucket
-    # summary): the input is cut once so the upstream plan is not recomputed for
-    # the second reader; the windows then shuffle on (entity, bucket), which also
-    # serves every finer (entity, keys, bucket).
-    base = cut_lineage(df.withColumn("__bkt", bucket))
+    # read by both parts, and by the windows and the summary of the heavy one
+    base = cut_lineage(df)
+    same = [F.col(c).eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate(entity)]
+    keys = F.broadcast(heavy.toDF(*[f"__h{i}" for i in range(len(entity))]))  # at most HEAVY rows
+    light = _single_level(base.join(keys, same, "left_anti"), groups, order_cols)
+    base = base.join(keys, same, "left_semi").withColumn("__bkt", bucket)
     out = base
     for i, (keys, ps) in enumerate(groups.items()):
         # the summary reads the cut input, not the columns added so far: the plan
         # grows by one join per key group, and no group is evaluated twice
         out = _segmented(out, base, list(keys), order_cols, ps, f"__g{i}")
-    return out.drop("__bkt")
+    return light.unionByName(out.drop("__bkt"))
 
 
 def _single_level(df: DataFrame, groups, order_cols) -> DataFrame:

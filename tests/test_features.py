@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.targets import place_hit, place_target
 from tessera.operators.groupnorm import market_features
-from tessera.operators.history import Prior, with_priors
+from tessera.operators.history import Prior, heavy_entities, with_priors
 from tessera.plans.features import features_for_current, month_bucket
 
 D = dt.date
@@ -47,7 +47,7 @@ def test_recent_and_condition_features_use_only_prior_races(spark, bucketed):
               Prior("bucket_rate", "mean", "__hit", keys=("distance_bucket",)), Prior("gap", "gap_days", "race_date"),
               Prior("speed3", "rolling", "__speed", 3), Prior("early", "mean", "__early")]
     out = with_priors(df, ["horse_id"], ["race_date", "race_id"], priors,
-                      month_bucket("race_date") if bucketed else None)
+                      month_bucket("race_date") if bucketed else None, piece=1)
     third = out.where("race_id = 'race-3'").first()
     assert third.recent3 == 0.5
     assert third.course_rate == 0.5
@@ -77,7 +77,8 @@ def test_market_share_and_rank(spark):
     assert got["c"].market_place_overround == pytest.approx(0.75)
 
 
-def test_segmented_equals_plain_windows_with_a_hot_key(spark):
+@pytest.mark.parametrize("piece", [1, 200])
+def test_segmented_equals_plain_windows_with_a_hot_key(spark, piece):
     """One entity holds a third of all rows; rolling windows cross bucket edges."""
     rnd = random.Random(7)
     rows = []
@@ -96,7 +97,9 @@ def test_segmented_equals_plain_windows_with_a_hot_key(spark):
     plain = with_priors(df, ["ent"], [F.col("d").asc_nulls_last(), F.col("id").asc_nulls_last()], priors)
     cols = ["id"] + [p.name for p in priors]
     a = {r.id: r for r in plain.select(*cols).collect()}
-    seg = with_priors(df, ["ent"], ["d", "id"], priors)
+    heavy = heavy_entities(df, ["ent"], piece)
+    assert heavy.count() == (1 if piece == 200 else 42)
+    seg = with_priors(df, ["ent"], ["d", "id"], priors, piece=piece)
     b = {r.id: r for r in seg.select(*cols).collect()}
     assert a.keys() == b.keys()
     for k in a:
@@ -111,14 +114,16 @@ def test_history_is_leak_free(spark):
     df1 = spark.createDataFrame(base, "ent int, d date, id int, v double")
     df2 = spark.createDataFrame(base[:-5] + [(1, r[1], r[2], 99.0) for r in base[-5:]], "ent int, d date, id int, v double")
     pri = [Prior("m", "mean", "v"), Prior("r3", "rolling", "v", 3)]
-    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
-    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d")).where("id <= 16").orderBy("id").collect()
+    a = with_priors(df1, ["ent"], ["d", "id"], pri, month_bucket("d"), piece=1).where("id <= 16").orderBy("id").collect()
+    b = with_priors(df2, ["ent"], ["d", "id"], pri, month_bucket("d"), piece=1).where("id <= 16").orderBy("id").collect()
     assert [(r.m, r.r3) for r in a] == [(r.m, r.r3) for r in b]
 
 
 def test_undated_rows_are_in_nobodys_history(spark):
     df = spark.createDataFrame([(1, None, 1, 9.0), (1, D(2024, 1, 1), 2, 3.0), (1, D(2024, 2, 1), 3, 5.0)],
                                "ent int, d date, id int, v double")
-    got = {r.id: r for r in with_priors(df, ["ent"], ["d", "id"], [Prior("n", "count"), Prior("m", "mean", "v")]).collect()}
+    priors = [Prior("n", "count"), Prior("m", "mean", "v")]
+    got = {r.id: r for r in with_priors(df, ["ent"], ["d", "id"], priors).collect()}
+    assert got == {r.id: r for r in with_priors(df, ["ent"], ["d", "id"], priors, piece=1).collect()}
     assert (got[2].n, got[2].m) == (0, None) and (got[3].n, got[3].m) == (1, 3.0)
     assert (got[1].n, got[1].m) == (2, 4.0)
