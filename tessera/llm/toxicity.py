@@ -41,6 +41,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -56,7 +57,7 @@ NOTHING = -1e9     # what they score
 LONGEST = 40       # longer units are read in overlapping windows
 BUCKETS = 1 << 20  # weights of triples at most
 SHORT = 12         # three words of no more characters are a unit too
-GROUP = 64         # texts whose phrases are scored together
+GROUP = 128        # texts whose phrases are scored together
 ROUNDS = 4
 OFFSET = -1.0       # score of a unit that shares no triple with a landmark
 EVIDENCE = 1.5      # surplus of a positive unit, in logarithms of the number of units
@@ -66,6 +67,7 @@ GAPS = [(j, k) for k in range(2, SPAN + 1) for j in range(1, k)]
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPELLED = re.compile(r"(?<!\w)(?:\w[^\w\n]{1,5}){3,}\w(?!\w)")
+_ALONE, _TOGETHER = re.compile(r"(?<!\w)\w(?!\w)"), re.compile(r"\w\w")
 _GAP = re.compile(r"[\W_]{2,}")
 _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]{4,}")
 _TRIM = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()) + "«»„“”‚‘’…–—¡¿"
@@ -157,20 +159,36 @@ def triples(codes: np.ndarray, alphabet: Alphabet):
         yield np.where(ok, alphabet.number(a, b, c), -1), DECAY ** k
 
 
+def triple_sums(codes: np.ndarray, weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
+    """Discounted sum of the weights of each row's triples; -1 is no character."""
+    total = np.zeros(len(codes), np.float32)
+    if alphabet.size ** 3 > BUCKETS:
+        padded = np.append(weights.astype(np.float32), np.float32(0))  # triple -1 weighs nothing
+        for number, discount in triples(codes, alphabet):
+            total += np.float32(discount) * padded[number].sum(axis=1)
+        return total
+    # no landmark has a triple with another character: such entries weigh nothing
+    c = np.where(codes < 0, alphabet.other, codes).astype(np.int32)
+    b = c * np.int32(alphabet.size)
+    a = b * np.int32(alphabet.size)
+    for k in range(2, SPAN + 1):
+        if c.shape[1] > k:
+            ends = a[:, :-k] + c[:, k:]
+            for j in range(1, k):
+                total += np.float32(DECAY ** k) * weights[ends + b[:, j:j - k]].sum(axis=1)
+    return total
+
+
 def score_units(words: list[str], weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
     """Normalised sum over the triples of each word of their weights."""
-    padded = np.append(weights.astype(np.float32), np.float32(0))  # triple -1 weighs nothing
     out = np.empty(len(words))
     order = np.argsort(np.fromiter(map(len, words), np.int64, len(words)), kind="stable")  # little padding
     for at in range(0, len(words), 4096):
         part = order[at:at + 4096]
         codes, lengths, owner = encode([words[k] for k in part], alphabet)
-        total = np.zeros(len(codes), np.float32)
-        for number, discount in triples(codes, alphabet):
-            total += np.float32(discount) * padded[number].sum(axis=1)
         best = np.full(len(part), NOTHING)
         long = lengths >= SHORTEST + 2
-        np.maximum.at(best, owner[long], (total / scale_of(lengths))[long])
+        np.maximum.at(best, owner[long], (triple_sums(codes, weights, alphabet) / scale_of(lengths))[long])
         out[part] = best
     return out
 
@@ -284,30 +302,198 @@ def _margins(model: Model, limit: int):
     return run
 
 
-_SEEN: dict[bytes, tuple[Alphabet, dict[str, float]]] = {}  # per worker: model -> unit -> margin
+_SEEN: dict[bytes, Lexicon] = {}  # per worker: model -> what it has seen
 FLOOR = -2.0  # margin of a text without units
+_LINE = "\ufdd0\ufdd1\ufdd0"  # noncharacters that stand for a line's end among tokens
+_EDGE = SPAN  # characters at a word's edge that a triple over the space can reach
+
+
+class Lexicon:
+    """Tokens that a worker has seen, with all that scoring units of them needs.
+
+    The triples of two words with a space are those of the first word with its
+    left edge, those of the second with its right edge, and the few that cross the
+    space, which lie in the last and first ``SPAN`` characters. So a pair costs two
+    look-ups and the crossing triples. Words with marks inside or at their edges,
+    and pairs too long for one window, are scored as strings."""
+
+    def __init__(self, model: Model):
+        self.alphabet, self.weights = Alphabet(model.letters), model.weights.astype(np.float32)
+        self.ids: dict[str, int] = {}
+        self.words: list[str] = []
+        self.other: dict[str, float] = {}  # units that are no tokens, and phrases scored as strings
+        self.own, self.left, self.right = (np.zeros(0, np.float32) for _ in range(3))
+        self.size, self.shown, self.codes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros((0, SHORT), np.int32)
+        self.head, self.tail = (np.zeros((0, _EDGE), np.int32) for _ in range(2))
+        self.ends, self.plain, self.loose = (np.zeros(0, bool) for _ in range(3))
+        self.alone = np.zeros(0, np.int32)
+        self.scale = scale_of(np.arange(LONGEST + 3)).astype(np.float32)
+        # (columns of tail, space and head, discount) of the triples that cross the space
+        span = range(2 * _EDGE + 1)
+        self.cross = [(i, j, k, DECAY ** (k - i)) for i in span[:_EDGE] for k in span[_EDGE + 1:] if k - i <= SPAN
+                      for j in range(i + 1, k) if j != _EDGE]
+
+    def put(self, name: str, new: np.ndarray) -> None:
+        """Write the values of new tokens behind the known ones; arrays grow by doubling."""
+        at, old = len(self.ids), getattr(self, name)
+        if at + len(new) > len(old):
+            grown = np.zeros((max(2 * len(old), at + len(new)), *old.shape[1:]), old.dtype)
+            grown[:at] = old[:at]
+            setattr(self, name, grown)
+        getattr(self, name)[at:at + len(new)] = new
+
+    def learn(self, tokens: list[str]) -> None:
+        alphabet, words = self.alphabet, [t.strip(_TRIM) for t in tokens]
+        plain = np.array([0 < len(w) <= LONGEST and w[0].isalnum() and w[-1].isalnum() and not _GAP.search(w) for w in words], bool)
+        codes, lengths, owner = encode([w if p else "" for w, p in zip(words, plain)], alphabet)
+        n, width = len(tokens), codes.shape[1]
+        size = lengths - 2
+        place = np.arange(_EDGE)
+        begin = np.full((n, _EDGE + width), alphabet.other, np.int32)  # padded on the left
+        begin[:, _EDGE:] = np.where(codes < 0, alphabet.other, codes)
+        tail = begin[np.arange(n)[:, None], _EDGE + 1 + size[:, None] - _EDGE + place]
+        after = np.full((n, width + _EDGE), alphabet.other, np.int32)
+        after[:, :width] = begin[:, _EDGE:]
+        lefts, rights = codes.copy(), codes.copy()
+        lefts[np.arange(n), size + 1] = -1
+        rights[:, 0] = -1
+        short = np.full((n, max(SHORT, width)), alphabet.other, np.int32)
+        short[:, :width - 2] = np.where(np.arange(1, width - 1) <= size[:, None], after[:, 1:width - 1], alphabet.other)
+        own = np.where(size >= SHORTEST, triple_sums(codes, self.weights, alphabet) / self.scale[size + 2], NOTHING)
+        odd = np.flatnonzero(~plain)
+        if len(odd):
+            own[odd] = score_units([tokens[k] for k in odd], self.weights, alphabet)
+        self.put("own", own)
+        self.put("left", triple_sums(lefts, self.weights, alphabet))
+        self.put("right", triple_sums(rights, self.weights, alphabet))
+        self.put("size", size)
+        self.put("codes", short[:, :SHORT])
+        self.put("shown", np.fromiter(map(len, words), np.int64, n))
+        self.put("head", after[:, 1:1 + _EDGE])
+        self.put("tail", tail)
+        self.put("ends", np.array([t[-1] in ".!?" for t in tokens], bool))
+        self.put("plain", plain)
+        # single characters in the token, and whether it has nothing longer
+        self.put("alone", np.fromiter((len(_ALONE.findall(t)) for t in tokens), np.int64, n))
+        self.put("loose", np.array([_TOGETHER.search(t) is None for t in tokens], bool))
+        self.words += words
+        for t in tokens:
+            self.ids[t] = len(self.ids)
+
+    def strings(self, found: list[str], keep: int) -> list[float]:
+        """Scores of units as strings, remembered up to a number."""
+        new = list({u for u in found if u not in self.other})
+        got = dict(zip(new, score_units(new, self.weights, self.alphabet).tolist())) if new else {}
+        out = [self.other[u] if u in self.other else got[u] for u in found]
+        self.other.update(list(got.items())[:max(0, keep - len(self.other))])
+        return out
+
+    def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Scores of plain words a and b with a space between."""
+        columns = np.concatenate([self.tail[a].T, np.full((1, len(a)), self.alphabet.other, np.int32), self.head[b].T])
+        total = self.left[a] + self.right[b]
+        if self.alphabet.size ** 3 > BUCKETS:
+            padded = np.append(self.weights, np.float32(0))
+            valid = columns != self.alphabet.other
+            for i, j, k, discount in self.cross:
+                number = np.where(valid[i] & valid[j] & valid[k], self.alphabet.number(columns[i], columns[j], columns[k]), -1)
+                total += np.float32(discount) * padded[number]
+        else:
+            middle = columns * np.int32(self.alphabet.size)
+            first = middle * np.int32(self.alphabet.size)
+            for i, j, k, discount in self.cross:
+                total += np.float32(discount) * self.weights[first[i] + middle[j] + columns[k]]
+        return total / self.scale[self.size[a] + self.size[b] + 3]
+
+    def threes(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Scores of short plain words a, b and c with spaces between."""
+        rows, at = np.arange(len(a))[:, None], np.arange(SHORT)
+        codes = np.full((len(a), 3 * SHORT + 4), self.alphabet.other, np.int32)
+        codes[:, 0] = self.alphabet.edge
+        start = np.ones(len(a), np.int64)
+        for w in (a, b, c):  # a later word overwrites the padding of the one before
+            codes[rows, start[:, None] + at] = self.codes[w]
+            start = start + self.size[w] + 1
+        codes[np.arange(len(a)), start - 1] = self.alphabet.edge
+        codes = codes[:, :SHORT + 4]
+        return triple_sums(codes, self.weights, self.alphabet) / self.scale[start]
+
+    def spelled(self, ids: np.ndarray, owner: np.ndarray) -> list[int]:
+        """The texts that can hold a spelled-out run: four single characters from
+        one token with something longer to the next, both included."""
+        upto = np.concatenate([[0], np.cumsum(self.alone[ids])])
+        border = np.concatenate([[0], np.flatnonzero(~self.loose[ids]), [len(ids)]])
+        last = np.minimum(border[1:] + 1, len(ids))
+        many = np.flatnonzero(upto[last] - upto[border[:-1]] >= 4)
+        return sorted({int(k) for i in many for k in np.unique(owner[border[i]:last[i]])})
+
+    def best(self, texts: list[str], limit: int) -> np.ndarray:
+        """The highest score of a unit or phrase of each text; NOTHING without any."""
+        if len(self.ids) > limit:
+            self.__init__(Model(self.alphabet.letters, self.weights))
+        lows = [t.lower() for t in texts]
+        tokens = [low.replace("\n", f" {_LINE} ").split() if "\n" in low else low.split() for low in lows]
+        new = [t for t in set().union(*tokens) if t not in self.ids]
+        new.sort(key=len)  # little padding
+        for at in range(0, len(new), 1024):
+            self.learn(new[at:at + 1024])
+        best = np.full(len(texts), NOTHING)
+        extra: list[tuple[int, str]] = []
+        for k, low in enumerate(lows):
+            if not low.isascii():
+                extra += [(k, m[0][i:i + 3]) for m in _UNSPACED.finditer(low) for i in range(len(m[0]) - 2)]
+        ids = np.array([*map(self.ids.__getitem__, chain.from_iterable(tokens))], np.int64)
+        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, tokens), np.int64, len(tokens)))
+        for k in self.spelled(ids, owner):
+            extra += [(k, "".join(c for c in m[0] if c.isalnum())) for m in _SPELLED.finditer(lows[k])]
+        line = self.ids.get(_LINE, -1)
+        is_word = ids != line
+        np.maximum.at(best, owner[is_word], self.own[ids[is_word]])
+        # sentences end after a mark, at a line's end and at a text's end; empty words are left out
+        sentence = np.zeros(len(ids), np.int64)
+        if len(ids):
+            cut = self.ends[ids] | ~is_word
+            sentence[1:] = np.cumsum(cut[:-1] | (owner[1:] != owner[:-1]))
+        full = is_word & (self.shown[ids] > 0)
+        w, o, sent = ids[full], owner[full], sentence[full]
+        for n in (2, 3):
+            if len(w) < n:
+                continue
+            near = sent[n - 1:] == sent[:len(sent) - n + 1]
+            part = [w[k:len(w) - n + 1 + k][near] for k in range(n)]
+            own = o[:len(w) - n + 1][near]
+            if n == 3:
+                short = sum(self.shown[p] for p in part) <= SHORT
+                part, own = [p[short] for p in part], own[short]
+            if not len(own):
+                continue
+            simple = np.logical_and.reduce([self.plain[p] for p in part]) & (sum(self.size[p] for p in part) + n - 1 <= LONGEST)
+            plain = [p[simple] for p in part]
+            key = plain[0]
+            for p in plain[1:]:
+                key = key * len(self.ids) + p
+            _, first, back = np.unique(key, return_index=True, return_inverse=True)
+            if len(first):
+                score = (self.pairs if n == 2 else self.threes)(*[p[first] for p in plain])
+                np.maximum.at(best, own[simple], score[back])
+            odd = np.flatnonzero(~simple)
+            extra += [(int(own[i]), " ".join(self.words[p[i]] for p in part)) for i in odd]
+        if extra:
+            np.maximum.at(best, [k for k, _ in extra], self.strings([u for _, u in extra], limit))
+        return best
 
 
 def _margins_of(texts: list[str], model: Model, limit: int) -> list[float]:
-    """Margin of each text. Words are remembered between batches; phrases, most of
-    which don't come again, are scored once per GROUP of texts."""
+    """Margin of each text, GROUP texts at a time."""
     if model.weights is None:
         return [FLOOR] * len(texts)
     key = np.float64([model.weights.sum(), model.weights[::97].sum(), model.slope]).tobytes() + model.letters.encode()
     if key not in _SEEN:
         _SEEN.clear()
-        _SEEN[key] = (Alphabet(model.letters), {})
-    alphabet, seen = _SEEN[key]
-    out = []
+        _SEEN[key] = Lexicon(model)
+    out: list[float] = []
     for at in range(0, len(texts), GROUP):
-        found = [(units(t), phrases(t)) for t in texts[at:at + GROUP]]
-        words = [u for u in set().union(*(f[0] for f in found)) if u not in seen]
-        new = [*words, *set().union(*(f[1] for f in found))]
-        got = dict(zip(new, (score_units(new, model.weights, alphabet) + OFFSET).tolist()))
-        for own, pairs in found:
-            best = max((seen[u] if u in seen else got[u] for u in own), default=FLOOR)
-            out.append(max(best, max(map(got.__getitem__, pairs), default=FLOOR), FLOOR))
-        seen.update((u, got[u]) for u in words[:max(0, limit - len(seen))])
+        out += np.maximum(_SEEN[key].best(texts[at:at + GROUP], limit) + OFFSET, FLOOR).tolist()
     return out
 
 
