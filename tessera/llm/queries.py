@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import zlib
 
 from pyspark.sql import functions as F
@@ -13,13 +12,13 @@ from tessera.llm import (elias_fano, exact_dedup, mincut, mixing, packing, perio
 from tessera.llm.common import table
 from tessera.llm.registry import register
 
-# Folder of the public tokenizer files.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 SEQUENCE = 2048
 
 
 def tokenizer_path(name: str) -> str:
-    return os.path.join(TOKENIZERS, name)
+    """Place of a public tokenizer file."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def vocabulary_size(path: str) -> int:

@@ -13,12 +13,14 @@ library. Splitting is done only where no pre-token can cross:
   ASCII white space.
 * ``whole``: any other tokenizer gets whole texts.
 
-Strings of special tokens in a text are ordinary text.
+A text with the string of a special token goes to the library as a whole, which
+gives it that token's id, as the library does by default.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 
 _SAFE = re.compile(r"(?<=[!-~\w])(?= [!-~\w])|(?<=[!-~\w])(?=\n[!-~\w])|(?<=[!-~\w]\n)(?=[!-~\w])")
@@ -42,10 +44,13 @@ class ChunkEncoder:
     def __init__(self, path: str, limit: int = 700_000):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
         self.model, self.limit = self.tok.model, limit
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        added = [t["content"] for t in spec.get("added_tokens") or []]
+        # a normaliser may change the case before they are looked for
+        self.special = re.compile("|".join(map(re.escape, added)), re.I) if added else None
+        self.hint = os.path.commonprefix(added)
         pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer")
         steps = pre.get("pretokenizers", [])
         if norm is None and pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space"):
@@ -118,7 +123,7 @@ class ChunkEncoder:
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if self.mode == "whole":
+        if self.mode == "whole" or (self.special and self.hint in text and self.special.search(text)):
             return self._library(text)
         flat = text.replace("\n", " ")
         if self.mode == "dropped":
