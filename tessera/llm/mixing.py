@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tessera.llm.common import WORD, quoted, stage, text_of
+from tessera.llm.common import WORD, fresh, quoted, stage, text_of
 
 TOLERANCE = 1e-9
 MOST_ROUNDS = 100
@@ -55,11 +55,13 @@ def draw(key: Column, seed: int) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
-def _described(docs: DataFrame, dims: dict[str, Column], tokens: Column, id_col: str, text_col: str, seed: int) -> DataFrame:
-    """Rows with a struct ``_mix`` of categories, tokens and random number."""
+def _described(docs: DataFrame, dims: dict[str, Column], tokens: Column, id_col: str, text_col: str,
+               seed: int) -> tuple[DataFrame, str]:
+    """(rows with a struct of categories, tokens and random number, its name)."""
     key = F.coalesce(F.col(quoted(id_col)).cast("string"), F.md5(text_of(docs, text_col).cast("binary")))
     own = [F.coalesce(c.cast("string"), F.lit("")).alias(d) for d, c in dims.items()]
-    return docs.withColumn("_mix", F.struct(*own, tokens.alias("n_tokens"), draw(key, seed).alias("draw")))
+    mix = fresh(docs, "_mix")
+    return docs.withColumn(mix, F.struct(*own, tokens.alias("n_tokens"), draw(key, seed).alias("draw"))), mix
 
 
 def target_shares(cells: DataFrame, targets: dict[str, float | dict[str, float]]) -> DataFrame:
@@ -131,30 +133,30 @@ def probabilities(raked: DataFrame, keep: float) -> DataFrame:
 
 
 def _mixed(docs, dims, targets, tokens, keep, id_col, text_col, seed):
-    """Rows with ``_mix`` and the probability of their cell."""
+    """(rows, the struct of ``_described``, the probability of a row's cell)."""
     names = list(dims)
-    rows = _described(docs, dims, tokens, id_col, text_col, seed)
-    cells = stage(rows.select("_mix.*").groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "cells")
+    rows, mix = _described(docs, dims, tokens, id_col, text_col, seed)
+    cells = stage(rows.select(f"{mix}.*").groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "cells")
     fitted = probabilities(rake(target_shares(cells, targets), names), keep)
-    fitted = stage(fitted.select(*[F.col(d).alias(f"_m_{d}") for d in names], F.col("probability").alias("_m_p")), "mix")
-    on = [F.col("_mix")[d] == F.col(f"_m_{d}") for d in names]
-    return rows.join(fitted, on, "left")
+    key, chance = {d: fresh(rows, f"_m_{d}") for d in names}, fresh(rows, "_p")
+    fitted = stage(fitted.select(*[F.col(d).alias(key[d]) for d in names], F.col("probability").alias(chance)), "mix")
+    on = [F.col(mix)[d] == F.col(key[d]) for d in names]
+    return rows.join(fitted, on, "left"), F.col(mix), F.col(chance)
 
 
 def assess(docs: DataFrame, dims: dict[str, Column], targets: dict[str, float | dict[str, float]], tokens: Column,
            keep: float, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
     """One row per row: doc_id, the categories, n_tokens, probability, kept."""
-    rows = _mixed(docs, dims, targets, tokens, keep, id_col, text_col, seed)
-    return rows.select(F.col(quoted(id_col)).alias("doc_id"), *[F.col("_mix")[d].alias(d) for d in dims],
-                       F.col("_mix")["n_tokens"].alias("n_tokens"), F.col("_m_p").alias("probability"),
-                       (F.col("_mix")["draw"] < F.col("_m_p")).alias("kept"))
+    rows, mix, chance = _mixed(docs, dims, targets, tokens, keep, id_col, text_col, seed)
+    return rows.select(F.col(quoted(id_col)).alias("doc_id"), *[mix[d].alias(d) for d in dims], mix["n_tokens"].alias("n_tokens"),
+                       chance.alias("probability"), (mix["draw"] < chance).alias("kept"))
 
 
 def sample(docs: DataFrame, dims: dict[str, Column], targets: dict[str, float | dict[str, float]], tokens: Column,
            keep: float, id_col: str = "doc_id", text_col: str = "text", seed: int = 1) -> DataFrame:
     """The sampled rows, all columns."""
-    rows = _mixed(docs, dims, targets, tokens, keep, id_col, text_col, seed)
-    return (rows.filter(F.col("_mix")["draw"] < F.col("_m_p")).select([F.col(quoted(c)) for c in docs.columns]))
+    rows, mix, chance = _mixed(docs, dims, targets, tokens, keep, id_col, text_col, seed)
+    return rows.filter(mix["draw"] < chance).select([F.col(quoted(c)) for c in docs.columns])
 
 
 def oracle(targets: dict[str, float], keep: float, seed: int = 1, rounds: int = 40) -> str:

@@ -69,9 +69,12 @@ def slot_of(key, size: int):
 
 
 def place(keys: DataFrame, slots: DataFrame, key_col: str, size: int) -> DataFrame:
-    """(key, slot, shard) per row."""
-    out = keys.select(F.col(quoted(key_col)).alias(key_col), slot_of(F.col(quoted(key_col)), size).alias("slot"))
-    return out.join(F.broadcast(slots), "slot").select(quoted(key_col), "slot", "shard")
+    """(key, slot, shard) per row; the last two under names that the key leaves free."""
+    out = keys.select(F.col(quoted(key_col)))
+    slot, shard = fresh(out, "slot"), fresh(out, "shard")
+    named = slots.select(F.col("slot").alias(slot), F.col("shard").alias(shard))
+    out = out.withColumn(slot, slot_of(F.col(quoted(key_col)), size))
+    return out.join(F.broadcast(named), slot).select(quoted(key_col), slot, shard)
 
 
 def assign(docs: DataFrame, slots: DataFrame, key_col: str, size: int, spread_col: str | None = None) -> DataFrame:
