@@ -19,7 +19,7 @@ def drop_toxic(spark, docs, sf_dir):
 
 def drop_copies(spark, docs, sf_dir):
     """One row of each group of equal texts stays."""
-    return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark))
+    return exact_dedup.deduplicate(docs, exact_dedup.DigestIndex(spark))[0]
 
 
 def drop_near_copies(spark, docs, sf_dir):
