@@ -1,24 +1,32 @@
 """Secret scan with a randomness test battery (operator 9), DataFrame functions only.
 
 Base kinds are found by regular expressions, leftmost and non-overlapping per
-kind. The method adds ``random`` spans: runs of 16 or more encoding characters
-that touch no base span, whose encoding (upper-case hex, base32, base64) is
-inferred from their characters, and that pass two decisions:
+kind. The method adds ``random`` spans: runs of 16 or more encoding characters,
+at least one a letter, that touch no base span. The encoding of a run is the
+smallest of ``ALPHABETS`` that holds all its characters. Two decisions follow:
 
 1. The battery: chi-squared uniformity over the encoding's alphabet, a runs
    test about its middle and lag-one serial correlation, each with its exact
    mean and variance for the token's length, joined by Fisher's method. The
    token must not be rejected as random at ``BATTERY``.
 2. Length-aware false-discovery control. The likelihood ratio of a token under
-   its uniform alphabet and under the character frequencies of all candidate
-   runs of the corpus is an e-value against "ordinary run" and grows with
-   length. Within each length band, all candidates of the corpus are ranked by
-   it (in a histogram of fixed size) and the e-value form of the
+   its uniform alphabet and under the ordinary words of the corpus, divided by
+   the number of alphabets to choose from, is an e-value against "ordinary run"
+   and grows with length. Within each length band, all candidates of the corpus
+   are ranked by it (in a histogram of fixed size) and the e-value form of the
    Benjamini-Hochberg procedure keeps the share of false discoveries at most
    ``RATE``.
 
+Ordinary words are the shorter runs of the texts (2 to 15 characters, every
+occurrence), so the strings looked for never shape what counts as ordinary. A
+character's probability is that of its class after the class before it
+(upper, lower, digit, sign) times that of the character, case aside, after the one
+before it; both keep a fixed share of the plainer rule (``SWITCH``, ``SINGLE``), so
+that one rare pair or change of case can't make a run.
+
 Positions are code points, ends exclusive. Statistics over the corpus cover
-every candidate; what reaches the driver is one count per alphabet character.
+every candidate and every shorter run; what reaches the driver is one count per
+pair of the 66 encoding characters.
 
 Defined cases: a null text is the empty text; null and repeated ids go through
 row by row; an empty table gives no rows; other columns are not read.
@@ -27,6 +35,7 @@ row by row; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,9 +51,13 @@ CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 KINDS = ("assign", "access", "hex", "random")
 
 DIGITS, UPPER, LOWER = "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-ALPHABETS = {"hex": DIGITS + "ABCDEF", "base32": UPPER + "234567", "base64": UPPER + LOWER + DIGITS + "+/",
-             "base64url": UPPER + LOWER + DIGITS + "-_"}
+# The alphabets of common text encodings, the smaller first
+ALPHABETS = {"hex": DIGITS + "ABCDEF", "hex_lower": DIGITS + "abcdef", "upper": UPPER, "lower": LOWER,
+             "base32": UPPER + "234567", "base32_lower": LOWER + "234567", "base36": DIGITS + UPPER, "base36_lower": DIGITS + LOWER,
+             "letters": UPPER + LOWER, "base58": "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz",
+             "base62": UPPER + LOWER + DIGITS, "base64": UPPER + LOWER + DIGITS + "+/", "base64url": UPPER + LOWER + DIGITS + "-_"}
 CHARACTERS = UPPER + LOWER + DIGITS + "+/-_"
+SWITCH, SINGLE = 0.05, 0.1  # shares of the plainer rule: class by chance, character by itself
 
 BATTERY = 0.01
 RATE = 0.01
@@ -135,27 +148,65 @@ def battery(tokens: DataFrame) -> DataFrame:
     return out.withColumn("p_random", p).drop("letters", "x", "chi", "mean", "high", "runs", "lag", "dev", "half")
 
 
-def discoveries(found: DataFrame) -> DataFrame:
-    """(rid, start, end) of the random runs."""
+def pair_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(pair, n): how often two encoding characters follow each other in the
+    runs of 2 to 15, and (one character) how often a run starts with it. Runs are
+    counted per distinct run first, so the pairs of a frequent word are cut once."""
+    words = (docs.select(F.explode(F.split(text_of(docs, text_col), "[^A-Za-z0-9+/_-]+")).alias("w"))
+             .filter(F.length("w").between(2, 15)).groupBy("w").agg(F.count(F.lit(1)).alias("n")))
+    cuts = F.transform(F.sequence(F.lit(0), F.length("w") - 1), lambda i: F.substring(
+        F.col("w"), F.greatest(i, F.lit(1)), F.when(i == 0, 1).otherwise(2)))
+    return words.select(F.explode(cuts).alias("pair"), "n").groupBy("pair").agg(F.sum("n").alias("n"))
+
+
+def ordinary(counts: dict[str, int]) -> tuple[list[float], list[float]]:
+    """Minus the log-probability of an ordinary run's first character, and of
+    each character after each (row by row of ``CHARACTERS``)."""
+    kind = lambda c: 0 if c.isalpha() else 1 if c.isdigit() else 2
+    group = lambda c: 3 if c.isupper() else kind(c)
+    fold = {c: c.lower() for c in CHARACTERS}
+    sizes = Counter(kind(c) for c in set(fold.values()))
+    start, single, kinds, switch, follow, context = (Counter() for _ in range(6))
+    for pair, n in counts.items():
+        a, b = fold.get(pair[:-1]), fold[pair[-1]]
+        single[b] += n
+        kinds[kind(b)] += n
+        if a is None:
+            start[group(pair[-1])] += n
+        else:
+            switch[group(pair[0]), group(pair[1])] += n
+            follow[a, b] += n
+            context[a, kind(b)] += n
+    alone = lambda c: (single[fold[c]] + 1) / (kinds[kind(c)] + sizes[kind(c)])
+
+    def after(a, b):
+        out_of = sum(switch[group(a), g] for g in range(4)) + 4
+        change = (1 - SWITCH) * (switch[group(a), group(b)] + 1) / out_of + SWITCH / 4
+        size = sizes[kind(b)]
+        near = (follow[fold[a], fold[b]] + size * alone(b)) / (context[fold[a], kind(b)] + size)
+        return -math.log(change * ((1 - SINGLE) * near + SINGLE * alone(b)))
+    begun = sum(start.values()) + 4
+    return [-math.log((start[group(c)] + 1) / begun * alone(c)) for c in CHARACTERS], [after(a, b) for a in CHARACTERS for b in CHARACTERS]
+
+
+def discoveries(found: DataFrame, first: list[float], pairs: list[float]) -> DataFrame:
+    """(rid, start, end) of the random runs; ``first`` and ``pairs`` as ``ordinary`` gives them."""
     runs = (found.select("rid", F.explode("runs").alias("r"))
             .select("rid", "r.start", "r.end", F.rtrim(F.col("r.found"), F.lit("=")).alias("body")))
-    letters = (runs.select(F.explode(F.split("body", "")).alias("c")).groupBy("c").count()
-               .filter(F.length("c") == 1).collect())  # at most one row per encoding character
-    counts = {c: 1 for c in CHARACTERS} | {r["c"]: r["count"] + 1 for r in letters}
-    log_total = math.log(sum(counts.values()))
-    surprise = F.create_map(*[F.lit(v) for c, n in sorted(counts.items()) for v in (c, log_total - math.log(n))])
-    has = lambda p: F.col("body").rlike(p)
-    encoding = (F.when(has("^[0-9A-F]+$") & has("[0-9]") & has("[A-F]"), "hex")
-                .when(has("^[A-Z2-7]+$") & has("[A-Z]") & has("[2-7]"), "base32")
-                .when(has("^[A-Za-z0-9+/]+$") & has("[A-Z]") & has("[a-z]") & has("[0-9]"), "base64")
-                .when(has("^[A-Za-z0-9_-]+$") & has("[A-Z]") & has("[a-z]") & has("[0-9]"), "base64url"))
+    encoding = F.when(~F.col("body").rlike("[A-Za-z]"), F.lit(None).cast("string"))
+    for name, letters in ALPHABETS.items():
+        encoding = encoding.when(F.translate("body", letters, "") == "", F.lit(name))
     band = F.lit(len(BANDS))
     for k, top in reversed(list(enumerate(BANDS))):
         band = F.when(F.col("n") < top, F.lit(k)).otherwise(band)
     coded = battery(runs.withColumn("encoding", encoding).filter(F.col("encoding").isNotNull()))
-    own = F.aggregate(F.transform(F.split("body", ""), lambda c: F.element_at(surprise, c)), F.lit(0.0), lambda s, v: s + v)
-    level = F.floor((own - F.col("n") * F.log("size")) / BIN)
-    tested = stage(coded.withColumn("band", band)
+    numbers = lambda v: F.split(F.lit(",".join(map(repr, v))), ",").cast("array<double>")
+    place = F.transform(F.split("body", ""), lambda c: F.instr(F.lit(CHARACTERS), c))
+    steps = F.zip_with(F.slice("place", 1, F.size("place") - 1), F.slice("place", 2, F.size("place")),
+                       lambda a, b: F.element_at(numbers(pairs), (a - 1) * len(CHARACTERS) + b))
+    own = F.element_at(numbers(first), F.element_at("place", 1)) + F.aggregate(steps, F.lit(0.0), lambda s, v: s + v)
+    level = F.floor((own - F.col("n") * F.log("size") - math.log(len(ALPHABETS))) / BIN)
+    tested = stage(coded.withColumn("place", place).withColumn("band", band)
                    .withColumn("level", F.greatest(F.lit(0), F.least(level, F.lit(LAST_BIN))).cast("int"))
                    .select("rid", "start", "end", "band", "level", "p_random"), "tested")
     # a run of no known encoding is a candidate whose e-value is 0: it counts, and can't be found
@@ -174,7 +225,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     """One row per row: doc_id, the count per base kind, n_random, base_sha256 and
     spans, both over ``kind:start:end`` by start, then kind."""
     found = find(docs, id_col, text_col)
-    extra = discoveries(found).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("extra"))
+    usual = ordinary({r["pair"]: r["n"] for r in pair_counts(docs, text_col).collect()})  # at most 66 * 67 rows
+    extra = discoveries(found, *usual).groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("extra"))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     rows = found.drop("runs").join(extra, "rid", "left").withColumn("extra", F.coalesce("extra", none))
     named = lambda k, name: F.transform(F.col(name), lambda s: F.struct(

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import string
 from collections import Counter
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -22,26 +23,37 @@ def spans_text(spans):
 
 def secret_rows(texts, bands=(24, 32, 48, 96), rate=0.01, battery=0.01):
     """Per text: (base spans, all spans), with corpus statistics over all texts."""
-    from tessera.llm.secrets import ALPHABETS, CHARACTERS
+    low, up, num = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    alphabets = [num + "ABCDEF", num + "abcdef", up, low, up + "234567", low + "234567", num + up, num + low, up + low,
+                 "".join(c for c in num + up + low if c not in "0OIl"), up + low + num, up + low + num + "+/", up + low + num + "-_"]
+    every = up + low + num + "+/-_"
     runs = [(i, m.start(), m.end(), m[0].rstrip("=")) for i, t in enumerate(texts)
             for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}", t)]
-    counts = Counter(CHARACTERS)
-    for r in runs:
-        counts.update(r[3])
-    total = math.log(sum(counts.values()))
+    words = [w for t in texts for w in re.findall(r"[A-Za-z0-9+/_-]+", t) if 2 <= len(w) <= 15]
+    kind = lambda c: "a" if c in low + up else "0" if c in num else "-"
+    case = lambda c: "A" if c in up else kind(c)
+    size = {"a": 26, "0": 10, "-": 4}
+    chars, starts = Counter(c for w in words for c in w.lower()), Counter(case(w[0]) for w in words)
+    of_kind = Counter(kind(c) for w in words for c in w)
+    steps = [(a, b) for w in words for a, b in zip(w, w[1:])]
+    moves, leaving = Counter((case(a), case(b)) for a, b in steps), Counter(case(a) for a, _ in steps)
+    follow = Counter((a.lower(), b.lower()) for a, b in steps)
+    context = Counter((a.lower(), kind(b)) for a, b in steps)
+    alone = lambda c: (chars[c.lower()] + 1) / (of_kind[kind(c)] + size[kind(c)])
+
+    def usual(s):
+        out = math.log((starts[case(s[0])] + 1) / (len(words) + 4) * alone(s[0]))
+        for a, b in zip(s, s[1:]):
+            z = size[kind(b)]
+            near = (follow[a.lower(), b.lower()] + z * alone(b)) / (context[a.lower(), kind(b)] + z)
+            move = 0.95 * (moves[case(a), case(b)] + 1) / (leaving[case(a)] + 4) + 0.05 / 4
+            out += math.log(move * (0.9 * near + 0.1 * alone(b)))
+        return out
     band = lambda n: sum(n >= b for b in bands)
     sizes, tested = Counter(band(len(r[3])) for r in runs), []
     for i, a, b, s in runs:
-        has = lambda p: re.search(p, s)  # noqa: E731,B023
-        if has("^[0-9A-F]+$") and has("[0-9]") and has("[A-F]"):
-            letters = ALPHABETS["hex"]
-        elif has("^[A-Z2-7]+$") and has("[A-Z]") and has("[2-7]"):
-            letters = ALPHABETS["base32"]
-        elif has("^[A-Za-z0-9+/]+$") and has("[A-Z]") and has("[a-z]") and has("[0-9]"):
-            letters = ALPHABETS["base64"]
-        elif has("^[A-Za-z0-9_-]+$") and has("[A-Z]") and has("[a-z]") and has("[0-9]"):
-            letters = ALPHABETS["base64url"]
-        else:
+        letters = next((x for x in alphabets if set(s) <= set(x)), None)
+        if letters is None or not set(s) & set(low + up):
             continue
         x, k, n = [letters.index(c) for c in s], len(letters), len(s)
         z = [(sum(v * v for v in Counter(x).values()) * k / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)]
@@ -56,7 +68,7 @@ def secret_rows(texts, bands=(24, 32, 48, 96), rate=0.01, battery=0.01):
         z.append((lag / dev + 1 / n) * math.sqrt(n) if dev else 20.0)
         half = -sum(math.log(2) - math.log1p(math.exp(1.5976 * w + 0.070566 * w ** 3)) for w in (min(abs(v), 20.0) for v in z))
         p = math.exp(-half) * (1 + half + half * half / 2)
-        level = math.floor((sum(total - math.log(counts[c]) for c in s) - n * math.log(k)) / 0.25)
+        level = math.floor((-usual(s) - n * math.log(k) - math.log(len(alphabets))) / 0.25)
         tested.append((band(n), max(0, min(level, 800)), p, i, a, b))
     cut = {}
     for d in {t[0] for t in tested}:

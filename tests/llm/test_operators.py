@@ -3,6 +3,7 @@ repeated rows, empty tables, and extra columns whose names clash."""
 
 import os
 import random
+import string
 import zlib
 from collections import Counter
 
@@ -310,6 +311,29 @@ def test_random_strings_are_found_and_words_left(spark):
     assert hits >= 0.9 * len(planted) and not any(got[i] for i in got if i not in planted)
 
 
+def test_random_strings_by_encoding(spark):
+    """60 strings of each encoding and length, one to a text beside an ordinary long
+    run: at least 0.9 of each are found, and of the ordinary runs at most one in a hundred."""
+    rnd = random.Random(9)
+    low, up, num = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    kinds = {"hex": num + "ABCDEF", "base32": up + "234567", "base32 lower": low + "234567", "base36 lower": num + low,
+             "lower": low, "letters": up + low, "base58": "".join(c for c in num + up + low if c not in "0OIl"), "base64": up + low + num + "+/"}
+    texts, planted = [], []
+    for kind, letters in kinds.items():
+        for size in (20, 32, 40):
+            for _ in range(60):
+                key, run = "".join(rnd.choice(letters) for _ in range(size)), "".join(rnd.sample(WORDS, 8))[:40]
+                text = f"{make_text(rnd, 30)} {key} {make_text(rnd, 10)} {run}"
+                planted.append((kind, size, f"random:{text.index(key)}:{text.index(key) + size}", text.index(run)))
+                texts.append(text)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(df).collect()}
+    hits = Counter((kind, size) for i, (kind, size, span, _) in enumerate(planted) if span in got[i])
+    print({f"{k} {n}": hits[k, n] / 60 for k in kinds for n in (20, 32, 40)})
+    assert all(hits[k, n] >= 54 for k in kinds for n in (20, 32, 40))
+    assert sum(f":{at}:" in got[i] for i, (*_, at) in enumerate(planted)) <= len(planted) / 100
+
+
 def test_positions_in_long_texts(spark):
     text = ("é😀 token=abcdefghijkl0 " * 3000)
     got = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
