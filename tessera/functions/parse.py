@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from contextlib import contextmanager
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -87,8 +89,35 @@ def yyyymmdd(col) -> Column:
     return F.try_to_date(_c(col), "yyyyMMdd")
 
 
-def shift_jis_text(col) -> Column:
-    """text from a one-character-per-byte string holding Shift-JIS bytes:
-    the characters are re-encoded as Latin-1 bytes and decoded as Shift_JIS.
-    JVM-side; needs ``spark.sql.legacy.javaCharsets=true`` for the charset."""
-    return F.decode(F.encode(_c(col), "ISO-8859-1"), "Shift_JIS")
+# The characters of code page 1252 above 255, and the bytes they stand for.
+CP1252 = {"€": 0x80, "‚": 0x82, "ƒ": 0x83, "„": 0x84, "…": 0x85, "†": 0x86, "‡": 0x87, "ˆ": 0x88, "‰": 0x89, "Š": 0x8A, "‹": 0x8B,
+          "Œ": 0x8C, "Ž": 0x8E, "‘": 0x91, "’": 0x92, "“": 0x93, "”": 0x94, "•": 0x95, "–": 0x96, "—": 0x97, "˜": 0x98, "™": 0x99,
+          "š": 0x9A, "›": 0x9B, "œ": 0x9C, "ž": 0x9E, "Ÿ": 0x9F}
+
+
+@contextmanager
+def java_charsets(spark: SparkSession):
+    """Lets ``encode`` and ``decode`` take Java's charsets, with a replacement for
+    what can't be mapped. Both settings are read when a frame is made, so they are
+    put back at once and no other query sees them."""
+    names = ("spark.sql.legacy.javaCharsets", "spark.sql.legacy.codingErrorAction")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, "true")
+        yield
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def shift_jis(col) -> Column:
+    """bytes as Shift_JIS text. Make the frame within ``java_charsets``."""
+    return F.decode(_c(col), "Shift_JIS")
+
+
+def bytes_of(col) -> Column:
+    """the bytes of a payload that was read as Latin-1 or code page 1252; a
+    character that neither holds becomes ``?``. Make the frame within ``java_charsets``."""
+    back = F.translate(_c(col), "".join(CP1252), "".join(map(chr, CP1252.values())))
+    return F.encode(back, "ISO-8859-1")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.parse import java_charsets
 from tessera.plans import decode as dec
 from tessera.plans.catalog import r6, r6sql, register
 from tessera.session import cut_lineage, table_path
@@ -187,6 +188,49 @@ def decode_entries_q(spark, sf_dir):
     return good.select(*[r6(c) if c in ("weight_carried", "odds_win", "last_3f") else F.col(c) for c in good.columns])
 
 
+# Names in two-byte characters: the digits of a number written with these.
+KANA, KANJI = "アイウエオカキクケコ", "零一二三四五六七八九"
+SE_NAMES = {"horse_name": ("event_id", KANA, 40, 36), "trainer_name": ("event_id % 7919", KANJI, 90, 8),
+            "jockey_name": ("event_id % 9973", KANA, 306, 8)}
+RA_NAMES = {"race_name": ("event_id", KANJI, 32, 60)}
+
+
+def _with_names(rec, names):
+    """Records with a binary payload whose names are Shift_JIS, padded by bytes."""
+    raw = lambda c: F.encode(c, "ISO-8859-1")
+    with java_charsets(rec.sparkSession):
+        parts, at = [], 0
+        for number, digits, start, width in sorted(names.values(), key=lambda n: n[2]):
+            name = F.translate(F.expr(f"CAST({number} AS STRING)"), "0123456789", digits)
+            parts += [raw(F.substring("raw_payload", at + 1, start - at)),
+                      F.rpad(F.encode(name, "Shift_JIS"), width, raw(F.lit(" ")))]
+            at = start + width
+        return rec.withColumn("raw_payload", F.concat(*parts, raw(F.expr(f"substring(raw_payload, {at + 1})"))))
+
+
+def _names_sql(sql, names):
+    for column, (number, digits, start, width) in names.items():
+        sql = sql.replace(f"{cut_sql(start, width)} AS {column}",
+                          f"translate(CAST({number} AS VARCHAR), '0123456789', '{digits}') AS {column}")
+    return sql
+
+
+@register("decode_race_names", _names_sql(RACES_SQL, RA_NAMES))
+def decode_race_names(spark, sf_dir):
+    """RA records as bytes, race names decoded from Shift_JIS."""
+    rec = _with_names(records(spark, sf_dir), RA_NAMES)
+    good, _ = dec.decode_races(rec, keep=("event_id",))
+    return good.withColumn("race_date", F.date_format("race_date", "yyyy-MM-dd"))
+
+
+@register("decode_entry_names", r6sql(_names_sql(ENTRIES_SQL, SE_NAMES)))
+def decode_entry_names(spark, sf_dir):
+    """SE records as bytes, names decoded from Shift_JIS, the fields behind them in place."""
+    rec = _with_names(records(spark, sf_dir), SE_NAMES)
+    good, _ = dec.decode_entries(rec, keep=("event_id",))
+    return good.select(*[r6(c) if c in ("weight_carried", "odds_win", "last_3f") else F.col(c) for c in good.columns])
+
+
 REJECTS_SQL = RECORDS_SQL + f"""
 SELECT event_id, substr(raw_payload, 1, 2) AS record_type, 'race_date' AS reject_reason FROM rec
 WHERE substr(raw_payload, 1, 2) IN ('RA', 'SE') AND {DATE_SQL} IS NULL"""

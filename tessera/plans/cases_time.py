@@ -4,14 +4,18 @@ F6, F7, F11, O5, D7, M23)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import cutoff_time
 from tessera.operators.asof import asof_join, day_asof, range_agg
 from tessera.plans import testbed
 from tessera.plans.catalog import r6, r6sql, register
-from tessera.plans.jobs import coverage_report, coverage_missing
+from tessera.plans.jobs import build_training_features, coverage_missing, coverage_report, entry_view
 from tessera.session import table_path
+from tessera.sources.month_table import MonthTable
+from tessera.streaming.jobs import new_run_dir
 
 TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DTS = "%Y-%m-%d %H:%M:%S.%f"
@@ -186,3 +190,69 @@ def training_features(spark, sf_dir):
     return out.select("event_id", "user_id", F.date_format("race_date", "yyyy-MM-dd").alias("race_date"),
                       "sessions_7d", "sessions_14d", "best_3f_14d", F.col("days_since_latest").cast("int"),
                       "latest_3f", "latest_type")
+
+
+# Training sessions and entries from the line items: a part trains on each of its ship dates.
+RANGES = (("1995-01-01", "1999-06-15"), ("1999-03-10", "2002-01-01"))
+MONTHS_CTE = testbed.TESTBED_SQL + """,
+s AS (SELECT l_partkey AS horse_id, CAST(l_shipdate AS DATE) AS training_date,
+        CAST(l_shipdate AS DATE) + CAST(l_orderkey % 3 AS INTEGER) AS created,
+        CAST(l_orderkey AS VARCHAR) || ':' || CAST(l_linenumber AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR) || ':'
+          || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS VARCHAR) AS source_hash,
+        48 + l_quantity / 10 AS t4f, 36 + l_quantity / 20 AS t3f, 12 + l_quantity / 50 AS t1f,
+        CASE WHEN l_linestatus = 'O' THEN 'WC' ELSE 'HC' END AS record_type FROM lineitem),
+e AS (SELECT DISTINCT race_id, horse_id, race_date FROM race_entries WHERE race_date >= DATE '1995-01-01' AND race_date < DATE '2002-01-01'),
+tf AS (SELECT e.race_id, e.horse_id, e.race_date,
+  CAST(count(*) FILTER (e.race_date - s.training_date <= 7) AS INTEGER) AS sessions_7d,
+  CAST(count(*) FILTER (e.race_date - s.training_date <= 14) AS INTEGER) AS sessions_14d,
+  CAST(min(e.race_date - s.training_date) AS INTEGER) AS days_since_latest,
+  min(s.t3f) FILTER (e.race_date - s.training_date <= 14) AS best_3f_14d,
+  arg_max({t4f: s.t4f, t3f: s.t3f, t1f: s.t1f, kind: s.record_type}, (s.training_date, s.created, s.source_hash)) AS last
+  FROM e LEFT JOIN s ON s.horse_id = e.horse_id AND s.training_date < e.race_date GROUP BY ALL)"""
+MONTHS_COLUMNS = """sessions_7d, sessions_14d, days_since_latest, round(last.t4f, 6) AS latest_4f, round(last.t3f, 6) AS latest_3f,
+  round(last.t1f, 6) AS latest_1f, round(best_3f_14d, 6) AS best_3f_14d, last.kind AS latest_type"""
+
+
+def _training_table(spark, sf_dir):
+    """The training features of all entries, by two runs whose ranges overlap within a month."""
+    li = spark.read.parquet(table_path(sf_dir, "lineitem"))
+    text = lambda c: c.cast("string")
+    day = F.to_date("l_shipdate")
+    sessions = li.select(
+        F.col("l_partkey").alias("horse_id"), day.alias("training_date"),
+        F.date_add(day, (F.col("l_orderkey") % 3).cast("int")).alias("created"),
+        F.concat_ws(":", text(F.col("l_orderkey")), text(F.col("l_linenumber")), text(F.col("l_suppkey")),
+                    text(F.round(F.col("l_extendedprice") * 100).cast("long"))).alias("source_hash"),
+        (48 + F.col("l_quantity") / 10).alias("t4f"), (36 + F.col("l_quantity") / 20).alias("t3f"),
+        (12 + F.col("l_quantity") / 50).alias("t1f"), F.when(F.col("l_linestatus") == "O", "WC").otherwise("HC").alias("record_type"))
+    entries = testbed.race_entries(spark, sf_dir).select("race_id", "horse_id", "race_date").dropDuplicates()
+    table = MonthTable(spark, f"{new_run_dir(spark, 'training')}/training", ["race_id", "horse_id"], "race_date")
+    for start, end in RANGES:
+        build_training_features(table, entries, sessions, dt.date.fromisoformat(start), dt.date.fromisoformat(end), months=60,
+                                tie=["created", "source_hash"])
+    return table
+
+
+def _rounded(df):
+    return df.select(*[r6(c) if c in ("latest_4f", "latest_3f", "latest_1f", "best_3f_14d") else F.col(c) for c in df.columns])
+
+
+@register("training_months", r6sql(MONTHS_CTE + f"""
+SELECT race_id, horse_id, strftime(race_date, '%Y-%m-%d') AS race_date, {MONTHS_COLUMNS} FROM tf"""))
+def training_months(spark, sf_dir):
+    """All training columns of every entry, written by month in two overlapping runs."""
+    out = _training_table(spark, sf_dir).read()
+    return _rounded(out.withColumn("race_date", F.date_format("race_date", "yyyy-MM-dd")))
+
+
+@register("entry_training", r6sql(MONTHS_CTE + f"""
+SELECT r.race_id, r.horse_id, r.horse_no, r.jockey_id, r.l_extendedprice, r.finish_position, {MONTHS_COLUMNS}
+FROM race_entries r LEFT JOIN tf USING (race_id, horse_id)"""))
+def entry_training(spark, sf_dir):
+    """The entry view with the training features of the written table."""
+    races, entries = testbed.races(spark, sf_dir), testbed.entries(spark, sf_dir)
+    training = _training_table(spark, sf_dir).read().drop("race_date")
+    results = entries.groupBy("race_id", "horse_id").agg(F.lit(None).cast("int").alias("none"))
+    view = entry_view(races, entries, results, training=training)
+    return _rounded(view.select("race_id", "horse_id", "horse_no", "jockey_id", "l_extendedprice", "finish_position",
+                                *[c for c in training.columns if c not in ("race_id", "horse_id")]))

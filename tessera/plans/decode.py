@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions import codes
-from tessera.functions.parse import join_parts, odds_value, strip_chars, tenths_or_null, yyyymmdd
+from tessera.functions.parse import java_charsets, join_parts, odds_value, shift_jis, strip_chars, tenths_or_null, yyyymmdd
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Field:
     kind: str = "text"  # text | int | date8
 
 
-def cut(payload: str | Column, start: int, width: int) -> Column:
+def cut(payload: str | Column, start: int | Column, width: int) -> Column:
     """F1 + F16: the trimmed slice ``[start, start+width)`` ('' beyond the end)."""
     p = F.col(payload) if isinstance(payload, str) else payload
     return strip_chars(F.substring(p, start + 1, width))
@@ -37,12 +38,33 @@ def as_int(text: Column) -> Column:
     return text.try_cast("int")
 
 
+def is_binary(df: DataFrame, payload: str) -> bool:
+    return isinstance(df.schema[payload].dataType, T.BinaryType)
+
+
+def one_char_per_byte(df: DataFrame, payload: str) -> DataFrame:
+    """A binary payload as text of one character per byte, so that offsets stay; a
+    text payload as it is. For record types whose fields are digits and letters."""
+    return df.withColumn(payload, F.decode(payload, "ISO-8859-1")) if is_binary(df, payload) else df
+
+
 def decode(df: DataFrame, payload: str, layout, keep=()) -> DataFrame:
+    """The fields of a layout. Offsets are bytes: a binary payload is cut as bytes and
+    each text field decoded from Shift_JIS by itself (F17), so a name of two-byte
+    characters moves nothing behind it. A text payload holds a character per byte."""
+    if is_binary(df, payload):
+        def text(f):
+            field = F.substring(payload, f.start + 1, f.width)
+            return strip_chars(shift_jis(field) if f.kind == "text" else F.decode(field, "ISO-8859-1"))
+    else:
+        def text(f):
+            return cut(payload, f.start, f.width)
     cols = [F.col(c) for c in keep]
     for f in layout:
-        t = cut(payload, f.start, f.width)
+        t = text(f)
         cols.append((as_int(t) if f.kind == "int" else yyyymmdd(t) if f.kind == "date8" else t).alias(f.name))
-    return df.select(*cols)
+    with java_charsets(df.sparkSession):
+        return df.select(*cols)
 
 
 # Record layouts (0-based offsets and widths) of the format.
@@ -140,7 +162,7 @@ def decode_entries(records: DataFrame, payload: str = "raw_payload", keep=("reco
 def decode_payouts(records: DataFrame, payload: str = "raw_payload", keep=("record_hash",)) -> DataFrame:
     """D3: HR records -> one row per non-empty payout slot (win x3, place x5);
     blank or all-zero combinations and empty or zero payouts are skipped."""
-    hr = of_type(records, "HR", payload)
+    hr = one_char_per_byte(of_type(records, "HR", payload), payload)
     p = F.col(payload)
     slots = []
     for ticket, start, n, stride, cw, pw in HR_BLOCKS:
@@ -160,22 +182,26 @@ def decode_odds(records: DataFrame, payload: str = "raw_payload", keep=("record_
     the win block and place min/max from the place block; the last slot of a
     number wins, number 0 or blank is skipped, and either block may lack a
     number.  The merge never leaves the record: no shuffle."""
-    o1 = of_type(records, "O1", payload)
-
-    def block(start, n, stride, fields):
-        slot = lambda i: F.struct(as_int(cut(payload, start + i * stride, 2)).alias("no"), *[
-            c.alias(name) for name, c in fields(start + i * stride)])
-        return F.filter(F.array(*[slot(i) for i in range(n)]), lambda s: s["no"].isNotNull() & (s["no"] != 0))
-    win = block(*O1_WIN, lambda at: [("odds_win", odds_value(as_int(cut(payload, at + 2, 4)))),
-                                     ("popularity", as_int(cut(payload, at + 6, 2)))])
-    place = block(*O1_PLACE, lambda at: [("odds_place_min", odds_value(as_int(cut(payload, at + 2, 4)))),
-                                         ("odds_place_max", odds_value(as_int(cut(payload, at + 6, 4))))])
-    rows = o1.select(*keep, *[cut(payload, f.start, f.width).alias(f.name) for f in RACE_KEY], win.alias("__win"), place.alias("__place"))
-    numbers = F.array_distinct(F.concat(F.transform("__win", lambda s: s["no"]), F.transform("__place", lambda s: s["no"])))
-    last = lambda slots, n: F.try_element_at(F.filter(slots, lambda s: s["no"] == n), F.lit(-1))
-    merged = F.transform(numbers, lambda n: F.struct(n.alias("horse_no"), last("__win", n).alias("w"), last("__place", n).alias("p")))
-    out = rows.select(*keep, race_id().alias("race_id"), F.explode(merged).alias("m"))
-    return out.select(*keep, "race_id", "m.horse_no", "m.w.odds_win", "m.p.odds_place_min", "m.p.odds_place_max", "m.w.popularity")
+    o1 = one_char_per_byte(of_type(records, "O1", payload), payload)
+
+    def numbers(start, n, stride):
+        return F.array(*[as_int(cut(payload, start + i * stride, 2)) for i in range(n)])
+
+    def last_slot(slots, start, n, stride):
+        """Start of the last slot of the row's number, null if it has none."""
+        at = F.array_position(F.reverse(slots), F.col("horse_no"))
+        return F.when(at > 0, F.lit(start) + (F.lit(n) - at).cast("int") * stride)
+    rows = o1.select(*keep, payload, *[cut(payload, f.start, f.width).alias(f.name) for f in RACE_KEY],
+                     numbers(*O1_WIN).alias("__win"), numbers(*O1_PLACE).alias("__place"))
+    every = F.array_distinct(F.array_compact(F.array_remove(F.concat("__win", "__place"), 0)))
+    # only the slots that count are cut for their values, one row per number
+    rows = rows.select(*keep, payload, race_id().alias("race_id"), "__win", "__place", F.explode(every).alias("horse_no"))
+    rows = rows.select(*keep, payload, "race_id", "horse_no", last_slot(F.col("__win"), *O1_WIN).alias("__w"),
+                       last_slot(F.col("__place"), *O1_PLACE).alias("__p"))
+    value = lambda at, skip, width: as_int(cut(payload, F.col(at) + skip, width))
+    return rows.select(*keep, "race_id", "horse_no", odds_value(value("__w", 2, 4)).alias("odds_win"),
+                       odds_value(value("__p", 2, 4)).alias("odds_place_min"), odds_value(value("__p", 6, 4)).alias("odds_place_max"),
+                       value("__w", 6, 2).alias("popularity"))
 
 
 def decode_snapshots(records: DataFrame, payload: str = "raw_payload", spec: str = "SNPN",
@@ -198,7 +224,7 @@ def decode_snapshots(records: DataFrame, payload: str = "raw_payload", spec: str
 def decode_sessions(records: DataFrame, payload: str = "raw_payload", existing: DataFrame | None = None) -> DataFrame:
     """D6 + P19 + U2: HC/WC records (3rd character not '0') -> training sessions,
     times by record type with all-zero sentinels as null; insert-only by hash."""
-    t = records.where(F.col("record_type").isin("HC", "WC") & (F.substring(payload, 3, 1) != "0"))
+    t = one_char_per_byte(records, payload).where(F.col("record_type").isin("HC", "WC") & (F.substring(payload, 3, 1) != "0"))
     p, rt = F.col(payload), F.col("record_type")
     cols = [F.col("record_hash").alias("source_hash"), rt.alias("record_type"),
             yyyymmdd(cut(p, 3, 8)).alias("created_date"), yyyymmdd(cut(p, 12, 8)).alias("training_date"),
