@@ -82,5 +82,14 @@ def cut_lineage(df):
         held.unpersist()
 
 
+def side_by_side(fn, items) -> list:
+    """``fn`` of each item, from one thread each, so that small jobs which do not
+    depend on each other share the cluster; the first error is raised when all have ended."""
+    from concurrent.futures import ThreadPoolExecutor
+    items = list(items)
+    with ThreadPoolExecutor(max(1, len(items))) as pool:
+        return list(pool.map(fn, items))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
