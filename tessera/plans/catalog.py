@@ -64,4 +64,4 @@ def r6sql(sql: str) -> str:
 # Queries checked by row count and invariants only (model fits, streams): the
 # driver records a rows-only check for them.
 ROWS_ONLY: tuple[str, ...] = ("feature_columns", "train_score", "calibrate", "backtest", "compare_models",
-                               "walk_forward", "ablate", "refresh", "predict_day")
+                               "walk_forward", "ablate", "predict_day")
