@@ -81,6 +81,13 @@ class DigestIndex:
              .write.mode("append").format("parquet").option("path", self.path)
              .bucketBy(self.buckets, "digest").sortBy("digest").saveAsTable(self.name))
 
+    def look_up(self, reps: DataFrame, batch: str) -> DataFrame:
+        """``reps`` of a committed batch with the rows that the index keeps: digest,
+        keep_id, keep_points, group_size and is_new (this batch brought the text in)."""
+        held = self.rows().select("digest", "keep_id", F.col("n_points").alias("keep_points"),
+                                  (F.col("batch") == batch).alias("is_new")).hint("merge")
+        return reps.select("digest", "group_size").join(held, "digest")
+
 
 def classes(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id", text_col: str = "text",
             batch: str | None = None) -> tuple[DataFrame, DataFrame]:

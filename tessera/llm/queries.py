@@ -45,9 +45,10 @@ r AS (
 SELECT r.doc_id, b.doc_id AS keep_id, r.n AS group_size, r.k = 1 AS kept, r.h AS text_sha256
 FROM r JOIN r AS b ON b.h = r.h AND b.k = 1""")
 def op8(spark, sf_dir):
-    index = exact_dedup.DigestIndex(spark)
-    members, reps = exact_dedup.classes(table(spark, sf_dir, "documents"), index)
-    return exact_dedup.decide(members, reps)
+    index, batch = exact_dedup.DigestIndex(spark), "documents"
+    members, reps = exact_dedup.classes(table(spark, sf_dir, "documents"), index, batch=batch)
+    index.commit(reps, batch)
+    return exact_dedup.decide(members, index.look_up(reps, batch))
 
 
 @register("op10_best_fit")
