@@ -15,7 +15,7 @@ from tessera.plans import testbed
 from tessera.plans.catalog import r6, r6sql, register
 from tessera.plans.cases_features import ID_COLS, VALUE_CTE, valued
 from tessera.plans.reports import best_by, delta_to_baseline
-from tessera.session import table_path
+from tessera.session import stored, table_path
 
 ROW_ORDER = ["race_date", "race_id", "horse_no", "horse_id", "jockey_id", "l_extendedprice"]
 ROW_ORDER_SQL = ", ".join(ROW_ORDER)
@@ -88,7 +88,8 @@ def bet_metrics_q(spark, sf_dir):
 SELECT round(max(d), 6) AS max_drawdown, round(sum(profit), 6) AS profit FROM dd"""))
 def max_drawdown_q(spark, sf_dir):
     """Global running equity and drawdown without a single-task window."""
-    bets = _settled(spark, sf_dir)
+    # read by the drawdown's range bounds, its fold and the total: computed once
+    bets = stored(_settled(spark, sf_dir).select(*ROW_ORDER, "profit"), "settled")
     dd = max_drawdown(bets, ROW_ORDER, "profit")
     total = bets.agg(F.sum("profit").alias("profit"))
     from tessera.operators.rows import with_row
