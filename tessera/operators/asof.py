@@ -8,7 +8,9 @@ Scale: ``range_agg`` first reduces both sides to one row per (key, day), so a
 hot key costs at most one row per calendar day.  ``asof_join`` scans per (key,
 bucket), where the bucket is monotone in time (the calendar day by default), and
 the last right row of earlier buckets is carried in from a one-row-per-(key,
-bucket) summary, so a hot key is split across its buckets.
+bucket) summary, so a hot key is split across its buckets. ``day_features`` is both
+at once at day grain: keys with few enough rows for one task are scanned once, over the
+rows as they are, and only larger keys take the way of the other two.
 
 Nulls follow SQL: a null key or a null time matches nothing, on either side.
 """
@@ -19,6 +21,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tessera.operators.history import PIECE, heavy_entities
 
 
 def asof_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str,
@@ -121,3 +126,70 @@ def day_asof(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: st
     days = left.select(*key, left_day).dropDuplicates()
     found = asof_join(days, per_day, key, left_day, right_day, take, (), strict, lambda d: F.trunc(d, "month"), prefix)
     return left.join(found, on=[*key, left_day], how="left")
+
+
+def heavy_keys(left: DataFrame, right: DataFrame, key: Sequence[str], piece: int = PIECE) -> DataFrame | None:
+    """The keys with more than ``piece`` rows of both sides, at most 1,000; None if there is none."""
+    both = left.select(*key).unionByName(right.select(*key))
+    return heavy_entities(both.where(_known(key)), list(key), piece)
+
+
+def day_features(left: DataFrame, right: DataFrame, key: Sequence[str], left_day: str, right_day: str,
+                 windows: dict[str, int], aggs: dict[str, tuple[str, str, int]], take: Sequence[str],
+                 tie: Sequence[str] = (), prefix: str = "latest_", heavy: DataFrame | None = None) -> DataFrame:
+    """``range_agg`` and, before the left day, ``day_asof`` of the same sides.
+
+    Rows of both sides are dealt by key and scanned in day order, in one shuffle; nothing
+    is joined back. The keys in ``heavy`` (see ``heavy_keys``) would be long tasks: their
+    rows are reduced per day by the other two operators."""
+    key, shown = list(key), [*key, left_day, *[c for c in left.columns if c not in (*key, left_day)]]
+    if not all(isinstance(df.schema[c].dataType, T.DateType) for df, c in ((left, left_day), (right, right_day))):
+        return _by_day(left, right, key, left_day, right_day, windows, aggs, take, tie, prefix)
+    usable = _known([*key, left_day])
+    names = [*shown, *windows, *aggs, *[prefix + c for c in take]]
+    types = {**{c: left.schema[c].dataType for c in shown}, **{name: T.IntegerType() for name in windows},
+             **{name: right.select(getattr(F, fn)(F.col(c)).alias(name)).schema[name].dataType for name, (fn, c, _) in aggs.items()},
+             **{prefix + c: right.schema[c].dataType for c in take}}
+    # a left row without a key or a day has nothing in range and no match
+    alone = left.where(~usable).select(*shown, *[F.lit(0).alias(name) for name in windows],
+                                       *[F.lit(None).cast(types[name]).alias(name) for name in names[len(shown) + len(windows):]])
+    left, right = left.where(usable), right.where(_known([*key, right_day]))
+    out = alone.select(*names)
+    if heavy is not None:
+        same = [F.col(c).eqNullSafe(F.col(f"__h{i}")) for i, c in enumerate(key)]
+        few = F.broadcast(heavy.toDF(*[f"__h{i}" for i in range(len(key))]))  # a bounded number of rows
+        cut = _by_day(left.join(few, same, "left_semi"), right.join(few, same, "left_semi"), key, left_day, right_day,
+                      windows, aggs, take, tie, prefix)
+        out = out.unionByName(cut.select(*names))
+        left, right = left.join(few, same, "left_anti"), right.join(few, same, "left_anti")
+    own = [c for c in shown if c not in (*key, left_day)]
+    cols = list(dict.fromkeys([*[c for _, c, _ in aggs.values()], *[c for c in (*take, *tie) if c != right_day]]))
+    cols = [c for c in cols if c not in (*key, right_day)]
+    nulls = lambda df, cs, p: [F.lit(None).cast(df.schema[c].dataType).alias(f"{p}{i}") for i, c in enumerate(cs)]
+    values = lambda cs, p: [F.col(c).alias(f"{p}{i}") for i, c in enumerate(cs)]
+    rows = (left.select(*key, F.col(left_day).alias("__day"), F.lit(False).alias("__right"), *values(own, "__l"), *nulls(right, cols, "__r"))
+            .unionByName(right.select(*key, F.col(right_day).alias("__day"), F.lit(True).alias("__right"),
+                                      *nulls(left, own, "__l"), *values(cols, "__r")))
+            .repartition(*key).withColumn("__dn", F.unix_date("__day")))
+    at = {**{c: F.col(f"__r{i}") for i, c in enumerate(cols)}, **{k: F.col(k) for k in key}, right_day: F.col("__day")}
+    base = Window.partitionBy(*key).orderBy("__dn")
+    found = F.max_by(F.struct(*[at[c].alias(f"__t{i}") for i, c in enumerate(take)]),
+                     F.when(F.col("__right"), F.struct(F.col("__dn"), *[at[c].alias(f"__o{i}") for i, c in enumerate(tie)])))
+    scanned = rows.select(
+        *key, "__day", "__right", *[f"__l{i}" for i in range(len(own))],
+        *[F.count(F.when(F.col("__right"), 1)).over(base.rangeBetween(-days, -1)).cast("int").alias(name)
+          for name, days in windows.items()],
+        *[getattr(F, fn)(F.when(F.col("__right"), at[c])).over(base.rangeBetween(-days, -1)).alias(name)
+          for name, (fn, c, days) in aggs.items()],
+        found.over(base.rangeBetween(Window.unboundedPreceding, -1)).alias("__last"))
+    light = scanned.where(~F.col("__right")).select(
+        *key, F.col("__day").alias(left_day), *[F.col(f"__l{i}").alias(c) for i, c in enumerate(own)], *windows, *aggs,
+        *[F.col(f"__last.__t{i}").alias(prefix + c) for i, c in enumerate(take)])
+    return light.unionByName(out)
+
+
+def _by_day(left: DataFrame, right: DataFrame, key: list[str], left_day: str, right_day: str, windows, aggs, take, tie,
+            prefix: str) -> DataFrame:
+    out = range_agg(left, right, key, left_day, right_day, windows, aggs)
+    found = day_asof(left.select(*key, left_day).dropDuplicates(), right, key, left_day, right_day, list(take), list(tie), True, prefix)
+    return out.join(found, on=[*key, left_day], how="left")

@@ -13,7 +13,7 @@ from tessera.operators.asof import asof_join, day_asof, range_agg
 from tessera.plans import testbed
 from tessera.plans.catalog import r6, r6sql, register
 from tessera.plans.jobs import build_training_features, coverage_missing, coverage_report, entry_view
-from tessera.session import table_path
+from tessera.session import stored, table_path
 from tessera.sources.month_table import MonthTable
 from tessera.streaming.jobs import new_run_dir
 
@@ -225,7 +225,8 @@ def _training_table(spark, sf_dir):
                     text(F.round(F.col("l_extendedprice") * 100).cast("long"))).alias("source_hash"),
         (48 + F.col("l_quantity") / 10).alias("t4f"), (36 + F.col("l_quantity") / 20).alias("t3f"),
         (12 + F.col("l_quantity") / 50).alias("t1f"), F.when(F.col("l_linestatus") == "O", "WC").otherwise("HC").alias("record_type"))
-    entries = testbed.race_entries(spark, sf_dir).select("race_id", "horse_id", "race_date").dropDuplicates()
+    # read by every step and by the count of large keys
+    entries = stored(testbed.race_entries(spark, sf_dir).select("race_id", "horse_id", "race_date").dropDuplicates(), "training-entries")
     table = MonthTable(spark, f"{new_run_dir(spark, 'training')}/training", ["race_id", "horse_id"], "race_date")
     for start, end in RANGES:
         build_training_features(table, entries, sessions, dt.date.fromisoformat(start), dt.date.fromisoformat(end), months=60,

@@ -2,8 +2,8 @@
 
 A run replaces keys within a half-open range of days. Every month it touches is
 written as one new folder (``data/write=<n>/__month=2024-01``) that holds the rows of
-the run and those older rows of the month whose keys the run does not bring; then a
-manifest (``log/v=<n>.json``) names the live folder of every month. Months outside
+the run and, added when their keys have been checked, those older rows of the month whose
+keys the run does not bring; then a manifest (``log/v=<n>.json``) names the live folder of every month. Months outside
 the range are neither read nor written. Overwriting partitions in place would lose
 the kept rows of a month if a job ended between the removal and the rename, so live
 folders are never touched: a write that fails leaves the last manifest in force, and
@@ -86,26 +86,35 @@ class MonthTable:
         schema = T.StructType.fromJson(m["schema"]) if m else rows.schema
         day = F.col(self.day)
         inside = F.coalesce((day >= F.lit(start)) & (day < F.lit(end)), F.lit(False))
-        new = dedupe_source(rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields]), self.keys)
+        new = rows.select(*[F.col(f.name).cast(f.dataType) for f in schema.fields])
         new = new.withColumn(self.day, F.when(inside, day).otherwise(
             F.raise_error(F.concat(F.lit(f"a day outside [{start}, {end}): "), F.coalesce(day.cast("string"), F.lit("null"))))))
         first, last = start.strftime("%Y-%m"), (end - dt.timedelta(days=1)).strftime("%Y-%m")
         held = [k for k in (m["months"] if m else {}) if first <= k <= last]
-        merged = new
-        if held:
-            brought = new.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)])
-            same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(self.keys)]
-            merged = new.unionByName(self._load(m, held).join(brought, same, "left_anti"))
         version = m["version"] + 1 if m else 1
         folder = f"data/write={version:012d}"
-        (merged.withColumn(MONTH, F.date_format(self.day, "yyyy-MM")).hint("rebalance", MONTH)
-         .write.mode("overwrite").partitionBy(MONTH).parquet(f"{self.path}/{folder}"))
-        written = {n.split("=")[1]: f"{folder}/{n}" for n in files.children(self.spark, f"{self.path}/{folder}", f"{MONTH}=")}
+        # the rows are computed once: what asks for their keys reads the new folder
+        written = self._put(new, folder, "overwrite")
+        if written:
+            brought = self._load({"schema": schema.jsonValue(), "months": written}, list(written)).select(*self.keys)
+            dedupe_source(brought, self.keys)
+            if held:
+                gone = brought.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(self.keys)])
+                same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(self.keys)]
+                written = self._put(self._load(m, held).join(gone, same, "left_anti"), folder, "append")
+        elif held:  # no row came: those months stay as they are
+            written = self._put(self._load(m, held), folder, "append")
         files.write_text(self.spark, f"{self.path}/log/v={version:012d}.json", json.dumps(
             {"version": version, "keys": self.keys, "day": self.day, "schema": schema.jsonValue(),
              "months": {**(m["months"] if m else {}), **written}, "steps": [*(m["steps"] if m else []), step]}))
         return sorted(written)
 
+    def _put(self, rows: DataFrame, folder: str, mode: str) -> dict[str, str]:
+        """Write rows by month; the months of the folder."""
+        (rows.withColumn(MONTH, F.date_format(self.day, "yyyy-MM")).hint("rebalance", MONTH)
+         .write.mode(mode).partitionBy(MONTH).parquet(f"{self.path}/{folder}"))
+        return {n.split("=")[1]: f"{folder}/{n}" for n in files.children(self.spark, f"{self.path}/{folder}", f"{MONTH}=")}
+
     def clean(self) -> list[str]:
         """Remove folders that the last manifest does not name, and older manifests; the
         removed folders. Call it when no reader of an earlier state is left."""

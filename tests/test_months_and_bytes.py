@@ -7,9 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import bytes_of, java_charsets, shift_jis
+from tessera.operators.asof import heavy_keys
 from tessera.operators.groupnorm import group_rank
+from tessera.operators.upsert import DuplicateKeyError
 from tessera.plans import decode as dec
-from tessera.plans.jobs import build_training_features
+from tessera.plans.jobs import LATEST_ALL, build_training_features, race_training_features
 from tessera.session import scratch_path
 from tessera.sources import files
 from tessera.sources.month_table import MonthTable, month_steps
@@ -157,3 +159,55 @@ def test_rank_windows_of_a_wide_group_hold_a_cell_each(spark):
     plan = group_rank(spark.range(10).selectExpr("'g' AS g", "CAST(id AS DOUBLE) AS v"), "g", "v", "r", piece=2)._jdf.queryExecution().toString()
     ordered = [line for line in plan.splitlines() if "windowspecdefinition(g" in line]
     assert ordered and all("__cell" in line for line in ordered)
+
+
+def test_training_steps_deal_their_rows_once(spark, monkeypatch):
+    """One exchange by key per step, none for a join back; a write computes its rows once."""
+    sessions = spark.createDataFrame([(1, D(2024, 1, 1), 1, 1.0, 2.0, 3.0, "HC")],
+                                     "horse_id int, training_date date, created int, t4f double, t3f double, t1f double, record_type string")
+    entries = spark.createDataFrame([("a", 1, D(2024, 1, 3))], "race_id string, horse_id int, race_date date")
+    plan = race_training_features(entries, sessions)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan and "Aggregate" not in plan, plan
+    # what asks for the keys of a write (repeated ones, older rows that stay) reads the written rows
+    t, seen = table(spark, "once"), spark.sparkContext.accumulator(0)
+    t.write(frame(spark, [(1, D(2024, 1, 5), "a"), (7, D(2024, 1, 6), "a")]), D(2024, 1, 1), D(2024, 2, 1), "one")
+
+    def counted(rows):
+        for r in rows:
+            seen.add(len(r))
+            yield r
+    t.write(frame(spark, [(1, D(2024, 1, 5), "b"), (2, D(2024, 1, 9), "b")]).mapInPandas(counted, "k int, day date, v string"),
+            D(2024, 1, 1), D(2024, 2, 1), "two")
+    assert seen.value == 2
+    assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "b"), (2, "b"), (7, "a")]
+    with pytest.raises(DuplicateKeyError):
+        t.write(frame(spark, [(3, D(2024, 1, 5), "c"), (3, D(2024, 1, 6), "c")]), D(2024, 1, 1), D(2024, 2, 1), "three")
+    assert "three" not in t.done() and t.read().count() == 3
+
+
+def test_training_of_large_keys_and_odd_rows_is_the_same(spark):
+    rnd = random.Random(5)
+    day = lambda: rnd.choice([None, *[D(2024, 1, 1) + dt.timedelta(days=k) for k in range(40)]])
+    number = lambda: rnd.choice([None, 1.0, 2.0, 3.0])
+    sessions = spark.createDataFrame([(rnd.choice([None, 1, 1, 1, 2, 3]), day(), rnd.choice([None, i]), number(), number(), number(), rnd.choice([None, "HC"]))
+                                      for i in range(400)],
+                                     "horse_id int, training_date date, created int, t4f double, t3f double, t1f double, record_type string")
+    entries = [(f"r{i % 150}", rnd.choice([None, 1, 2, 3, 4]), day()) for i in range(200)]
+    races = spark.createDataFrame([*entries, *entries[:20]], "race_id string, horse_id int, race_date date")
+    found = [race_training_features(races, sessions, latest=LATEST_ALL, heavy=heavy) for heavy in
+             (None, heavy_keys(races, sessions, ["horse_id"], piece=100), heavy_keys(races, sessions, ["horse_id"], piece=0))]
+    assert len({tuple(f.columns) for f in found}) == 1
+    rows = [sorted(map(str, f.collect())) for f in found]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 220
+    # and as the operators of a session count and a latest row say, day by day
+    known = [s for s in sessions.collect() if s.horse_id is not None and s.training_date]
+    for r in found[0].collect():
+        before = [s for s in known if r.race_date and s.horse_id == r.horse_id and s.training_date < r.race_date]
+        near = [s for s in before if (r.race_date - s.training_date).days <= 14]
+        best = [s.t3f for s in near if s.t3f is not None]
+        assert (r.sessions_14d, r.best_3f_14d) == (len(near), min(best, default=None))
+        assert r.sessions_7d == sum((r.race_date - s.training_date).days <= 7 for s in near)
+        last = max(before, key=lambda s: (s.training_date, s.created is not None, s.created or 0), default=None)
+        assert r.days_since_latest == (last and (r.race_date - last.training_date).days)
+        if last and last.created is not None:
+            assert (r.latest_4f, r.latest_3f, r.latest_1f, r.latest_type) == (last.t4f, last.t3f, last.t1f, last.record_type)
