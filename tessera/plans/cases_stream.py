@@ -15,13 +15,15 @@ from tessera.session import cut_lineage
 from tessera.streaming.jobs import (archive_table, new_run_dir, read_coverage, read_latest, stream_archive, stream_coverage,
                                     stream_latest)
 
-def _land(spark, df, run_dir, order):
+def _land(spark, df, run_dir, order, as_landed=lambda rows: rows):
     """Write the input as time-ordered files (the arrival folder), their number
     after the session's shuffle partitions; (folder, schema, files per micro-batch),
-    so that a stream takes them in four batches."""
+    so that a stream takes them in four batches. ``as_landed``: the rows of a file from
+    the rows that are dealt to it, where those are fewer."""
     path = f"{run_dir}/source"
     n_files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    df.repartitionByRange(n_files, *order).write.parquet(path)
+    df = as_landed(df.repartitionByRange(n_files, *order))
+    df.write.parquet(path)
     return path, df.schema, -(-n_files // 4)
 
 
@@ -49,13 +51,15 @@ SELECT race_id, combination, ticket_type, jockey_id, strftime(snapshot_time, '%Y
 def stream_odds_q(spark, sf_dir):
     """Snapshots arrive as files; the latest per (race, combination,
     ticket) is kept in a bucketed state table (replay-safe)."""
-    df = testbed.scored(spark, sf_dir)
-    snaps = odds_to_snapshots(df, "l_shipdate", {"win": "odds_win", "place": "odds_place_min"},
-                              keep=["race_id", "horse_no", "jockey_id"]).select(
-        "race_id", F.col("horse_no").cast("string").alias("combination"), "jockey_id", "snapshot_time",
-        "ticket_type", "odds")
+    df = testbed.scored(spark, sf_dir).select("race_id", "horse_no", "jockey_id", "l_shipdate", "odds_win", "odds_place_min")
+
+    def snapshots(entries):
+        return odds_to_snapshots(entries, "l_shipdate", {"win": "odds_win", "place": "odds_place_min"},
+                                 keep=["race_id", "horse_no", "jockey_id"]).select(
+            "race_id", F.col("horse_no").cast("string").alias("combination"), "jockey_id", "snapshot_time",
+            "ticket_type", "odds")
     run = new_run_dir(spark, "odds")
-    src, schema, n = _land(spark, snaps, run, ["snapshot_time", "race_id", "combination", "ticket_type", "jockey_id"])
+    src, schema, n = _land(spark, df, run, ["l_shipdate", "race_id", "horse_no", "jockey_id"], snapshots)
     by = (["race_id", "combination", "ticket_type"], ["snapshot_time", "odds", "jockey_id"])
     stream_latest(spark, src, schema, f"{run}/table", *by, files_per_trigger=n)
     out = read_latest(spark, f"{run}/table", *by)
