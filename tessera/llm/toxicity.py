@@ -41,7 +41,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -105,8 +105,9 @@ def units(text: str) -> set[str]:
     found = set(low.split())
     for m in _SPELLED.finditer(low):
         found.add("".join(c for c in m[0] if c.isalnum()))
-    for m in _UNSPACED.finditer(low):
-        found.update(m[0][k:k + 3] for k in range(len(m[0]) - 2))
+    if not low.isascii():
+        for m in _UNSPACED.finditer(low):
+            found.update(m[0][k:k + 3] for k in range(len(m[0]) - 2))
     return found
 
 
@@ -123,20 +124,33 @@ def phrases(text: str) -> set[str]:
 def encode(words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(codes, lengths, owner): a padded row of character codes, edges included,
     per window of a word; owner gives the word of a row."""
-    rows, owner = [], []
-    for k, w in enumerate(words):
-        w = _GAP.sub(" ", w.strip(_TRIM))
-        rows += [w] if len(w) <= LONGEST else [w[a:a + LONGEST] for a in range(0, len(w) - LONGEST // 2, LONGEST // 2)]
-        owner += [k] * (len(rows) - len(owner))
+    rows = gaps_as_one(list(map(str.strip, words, repeat(_TRIM))))
     lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    owner = np.arange(len(rows))
+    if lengths.max(initial=0) > LONGEST:
+        cut = [[w] if len(w) <= LONGEST else [w[a:a + LONGEST] for a in range(0, len(w) - LONGEST // 2, LONGEST // 2)] for w in rows]
+        owner = np.repeat(owner, np.fromiter(map(len, cut), np.int64, len(cut)))
+        rows = [*chain.from_iterable(cut)]
+        lengths = np.fromiter(map(len, rows), np.int64, len(rows))
+    return edged(rows, lengths, alphabet), lengths + 2, owner
+
+
+def gaps_as_one(words: list[str]) -> list[str]:
+    """A run of separators within a word as one space, by one substitution over all words."""
+    whole = "A".join(words)  # a character of words, so no run crosses it; units are lower case
+    if not words or whole.count("A") != len(words) - 1:
+        return [_GAP.sub(" ", w) for w in words]
+    return _GAP.sub(" ", whole).split("A") if _GAP.search(whole) else words
+
+
+def edged(rows: list[str], lengths: np.ndarray, alphabet: Alphabet) -> np.ndarray:
+    """A padded row of character codes, edges included, per string."""
     points = np.frombuffer("".join(rows).encode("utf-32-le", "surrogatepass"), np.uint32)
-    codes = alphabet.table[points]
     out = np.full((len(rows), int(lengths.max(initial=0)) + 2), -1, np.int32)
-    row = np.repeat(np.arange(len(rows)), lengths)
-    out[row, np.arange(len(points)) - np.repeat(np.cumsum(lengths) - lengths, lengths) + 1] = codes
+    out[:, 1:-1][np.arange(out.shape[1] - 2) < lengths[:, None]] = alphabet.table[points]
     out[:, 0] = alphabet.edge
     out[np.arange(len(rows)), lengths + 1] = alphabet.edge
-    return out, lengths + 2, np.array(owner, np.int64)
+    return out
 
 
 def scale_of(lengths: np.ndarray) -> np.ndarray:
@@ -343,29 +357,33 @@ class Lexicon:
         getattr(self, name)[at:at + len(new)] = new
 
     def learn(self, tokens: list[str]) -> None:
-        alphabet, words = self.alphabet, [t.strip(_TRIM) for t in tokens]
-        plain = np.array([0 < len(w) <= LONGEST and w[0].isalnum() and w[-1].isalnum() and not _GAP.search(w) for w in words], bool)
-        codes, lengths, owner = encode([w if p else "" for w, p in zip(words, plain)], alphabet)
+        alphabet, words = self.alphabet, list(map(str.strip, tokens, repeat(_TRIM)))
+        whole = list(map(str.isalnum, words))
+        plain = np.array([0 < len(w) <= LONGEST and (a or (w[0].isalnum() and w[-1].isalnum() and not _GAP.search(w)))
+                          for w, a in zip(words, whole)], bool)
+        rows = [w if p else "" for w, p in zip(words, plain.tolist())]
+        size = np.fromiter(map(len, rows), np.int64, len(rows))
+        codes = edged(rows, size, alphabet)
         n, width = len(tokens), codes.shape[1]
-        size = lengths - 2
         place = np.arange(_EDGE)
         begin = np.full((n, _EDGE + width), alphabet.other, np.int32)  # padded on the left
         begin[:, _EDGE:] = np.where(codes < 0, alphabet.other, codes)
         tail = begin[np.arange(n)[:, None], _EDGE + 1 + size[:, None] - _EDGE + place]
         after = np.full((n, width + _EDGE), alphabet.other, np.int32)
         after[:, :width] = begin[:, _EDGE:]
-        lefts, rights = codes.copy(), codes.copy()
-        lefts[np.arange(n), size + 1] = -1
-        rights[:, 0] = -1
+        total = triple_sums(codes, self.weights, alphabet)
+        first = after[:, :SPAN + 1].T
+        last = begin[np.arange(n)[:, None], _EDGE + 1 + size[:, None] - SPAN + np.arange(SPAN + 1)].T
         short = np.full((n, max(SHORT, width)), alphabet.other, np.int32)
         short[:, :width - 2] = np.where(np.arange(1, width - 1) <= size[:, None], after[:, 1:width - 1], alphabet.other)
-        own = np.where(size >= SHORTEST, triple_sums(codes, self.weights, alphabet) / self.scale[size + 2], NOTHING)
+        own = np.where(size >= SHORTEST, total / self.scale[size + 2], NOTHING)
         odd = np.flatnonzero(~plain)
         if len(odd):
             own[odd] = score_units([tokens[k] for k in odd], self.weights, alphabet)
         self.put("own", own)
-        self.put("left", triple_sums(lefts, self.weights, alphabet))
-        self.put("right", triple_sums(rights, self.weights, alphabet))
+        # without the right edge, and without the left one
+        self.put("left", total - self.over(last, [(SPAN - k, SPAN - k + j, SPAN, DECAY ** k) for j, k in GAPS]))
+        self.put("right", total - self.over(first, [(0, j, k, DECAY ** k) for j, k in GAPS]))
         self.put("size", size)
         self.put("codes", short[:, :SHORT])
         self.put("shown", np.fromiter(map(len, words), np.int64, n))
@@ -374,8 +392,9 @@ class Lexicon:
         self.put("ends", np.array([t[-1] in ".!?" for t in tokens], bool))
         self.put("plain", plain)
         # single characters in the token, and whether it has nothing longer
-        self.put("alone", np.fromiter((len(_ALONE.findall(t)) for t in tokens), np.int64, n))
-        self.put("loose", np.array([_TOGETHER.search(t) is None for t in tokens], bool))
+        joint = [a and len(w) > 1 and "_" not in t for t, w, a in zip(tokens, words, whole)]  # one run of letters, marks around it
+        self.put("alone", np.fromiter((0 if b else len(_ALONE.findall(t)) for t, b in zip(tokens, joint)), np.int64, n))
+        self.put("loose", np.array([not b and _TOGETHER.search(t) is None for t, b in zip(tokens, joint)], bool))
         self.words += words
         for t in tokens:
             self.ids[t] = len(self.ids)
@@ -391,19 +410,25 @@ class Lexicon:
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Scores of plain words a and b with a space between."""
         columns = np.concatenate([self.tail[a].T, np.full((1, len(a)), self.alphabet.other, np.int32), self.head[b].T])
-        total = self.left[a] + self.right[b]
+        total = self.over(columns, self.cross, self.left[a] + self.right[b])
+        return total / self.scale[self.size[a] + self.size[b] + 3]
+
+    def over(self, columns: np.ndarray, places: list, total: np.ndarray | None = None) -> np.ndarray:
+        """``total`` and the discounted weights of the triples at (i, j, k, discount) of rows of codes."""
+        total = np.zeros(columns.shape[1], np.float32) if total is None else total
         if self.alphabet.size ** 3 > BUCKETS:
             padded = np.append(self.weights, np.float32(0))
             valid = columns != self.alphabet.other
-            for i, j, k, discount in self.cross:
+            for i, j, k, discount in places:
                 number = np.where(valid[i] & valid[j] & valid[k], self.alphabet.number(columns[i], columns[j], columns[k]), -1)
                 total += np.float32(discount) * padded[number]
         else:
+            columns = np.ascontiguousarray(columns)
             middle = columns * np.int32(self.alphabet.size)
             first = middle * np.int32(self.alphabet.size)
-            for i, j, k, discount in self.cross:
+            for i, j, k, discount in places:
                 total += np.float32(discount) * self.weights[first[i] + middle[j] + columns[k]]
-        return total / self.scale[self.size[a] + self.size[b] + 3]
+        return total
 
     def threes(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Scores of short plain words a, b and c with spaces between."""
@@ -433,22 +458,25 @@ class Lexicon:
             self.__init__(Model(self.alphabet.letters, self.weights))
         lows = [t.lower() for t in texts]
         tokens = [low.replace("\n", f" {_LINE} ").split() if "\n" in low else low.split() for low in lows]
-        new = [t for t in set().union(*tokens) if t not in self.ids]
-        new.sort(key=len)  # little padding
+        flat, counts = [*chain.from_iterable(tokens)], np.fromiter(map(len, tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(self.ids.get, flat, repeat(-1)), np.int64, len(flat))
+        unknown = np.flatnonzero(ids < 0)
+        late = [flat[i] for i in unknown.tolist()]
+        new = sorted(set(late), key=len)  # little padding
         for at in range(0, len(new), 1024):
             self.learn(new[at:at + 1024])
+        ids[unknown] = [*map(self.ids.__getitem__, late)]
+        owner = np.repeat(np.arange(len(texts)), counts)
         best = np.full(len(texts), NOTHING)
         extra: list[tuple[int, str]] = []
         for k, low in enumerate(lows):
             if not low.isascii():
                 extra += [(k, m[0][i:i + 3]) for m in _UNSPACED.finditer(low) for i in range(len(m[0]) - 2)]
-        ids = np.array([*map(self.ids.__getitem__, chain.from_iterable(tokens))], np.int64)
-        owner = np.repeat(np.arange(len(texts)), np.fromiter(map(len, tokens), np.int64, len(tokens)))
         for k in self.spelled(ids, owner):
             extra += [(k, "".join(c for c in m[0] if c.isalnum())) for m in _SPELLED.finditer(lows[k])]
         line = self.ids.get(_LINE, -1)
         is_word = ids != line
-        np.maximum.at(best, owner[is_word], self.own[ids[is_word]])
+        raise_to(best, owner[is_word], self.own[ids[is_word]])
         # sentences end after a mark, at a line's end and at a text's end; empty words are left out
         sentence = np.zeros(len(ids), np.int64)
         if len(ids):
@@ -469,13 +497,12 @@ class Lexicon:
                 continue
             simple = np.logical_and.reduce([self.plain[p] for p in part]) & (sum(self.size[p] for p in part) + n - 1 <= LONGEST)
             plain = [p[simple] for p in part]
-            key = plain[0]
-            for p in plain[1:]:
-                key = key * len(self.ids) + p
-            _, first, back = np.unique(key, return_index=True, return_inverse=True)
-            if len(first):
-                score = (self.pairs if n == 2 else self.threes)(*[p[first] for p in plain])
-                np.maximum.at(best, own[simple], score[back])
+            if n == 2:  # few pairs repeat within a group: finding them costs more than scoring them
+                raise_to(best, own[simple], self.pairs(*plain))
+            elif len(plain[0]):
+                key = (plain[0] * len(self.ids) + plain[1]) * len(self.ids) + plain[2]
+                _, first, back = np.unique(key, return_index=True, return_inverse=True)
+                raise_to(best, own[simple], self.threes(*[p[first] for p in plain])[back])
             odd = np.flatnonzero(~simple)
             extra += [(int(own[i]), " ".join(self.words[p[i]] for p in part)) for i in odd]
         if extra:
@@ -483,6 +510,13 @@ class Lexicon:
         return best
 
 
+def raise_to(best: np.ndarray, owner: np.ndarray, score: np.ndarray) -> None:
+    """The highest score of each owner into ``best``; owners ascend."""
+    if len(owner):
+        start = np.concatenate([[0], np.flatnonzero(owner[1:] != owner[:-1]) + 1])
+        best[owner[start]] = np.maximum(best[owner[start]], np.maximum.reduceat(score, start))
+
+
 def _margins_of(texts: list[str], model: Model, limit: int) -> list[float]:
     """Margin of each text, GROUP texts at a time."""
     if model.weights is None:
@@ -502,7 +536,7 @@ def _unit_margins(model: Model):
         import pyarrow as pa
         alphabet = Alphabet(model.letters)
         for batch in batches:
-            got = score_units(batch.column(0).to_pylist(), model.weights, alphabet) + OFFSET
+            got = score_units(batch.column(0).to_numpy(zero_copy_only=False).tolist(), model.weights, alphabet) + OFFSET
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got)], names=["unit", "n", "margin"])
     return run
 
