@@ -173,14 +173,15 @@ def triples(codes: np.ndarray, alphabet: Alphabet):
         yield np.where(ok, alphabet.number(a, b, c), -1), DECAY ** k
 
 
-def triple_sums(codes: np.ndarray, weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
-    """Discounted sum of the weights of each row's triples; -1 is no character."""
-    total = np.zeros(len(codes), np.float32)
+def weighed(codes: np.ndarray, weights: np.ndarray, alphabet: Alphabet):
+    """(weights of each row's triples by the place of their first character, its distance
+    to the last one, discount) for every gap pattern; -1 is no character."""
     if alphabet.size ** 3 > BUCKETS:
         padded = np.append(weights.astype(np.float32), np.float32(0))  # triple -1 weighs nothing
-        for number, discount in triples(codes, alphabet):
-            total += np.float32(discount) * padded[number].sum(axis=1)
-        return total
+        patterns = [k for _, k in GAPS if codes.shape[1] > k]
+        for k, (number, discount) in zip(patterns, triples(codes, alphabet)):
+            yield padded[number], k, np.float32(discount)
+        return
     # no landmark has a triple with another character: such entries weigh nothing
     c = np.where(codes < 0, alphabet.other, codes).astype(np.int32)
     b = c * np.int32(alphabet.size)
@@ -189,10 +190,33 @@ def triple_sums(codes: np.ndarray, weights: np.ndarray, alphabet: Alphabet) -> n
         if c.shape[1] > k:
             ends = a[:, :-k] + c[:, k:]
             for j in range(1, k):
-                total += np.float32(DECAY ** k) * weights[ends + b[:, j:j - k]].sum(axis=1)
+                yield weights[ends + b[:, j:j - k]], k, np.float32(DECAY ** k)
+
+
+def triple_sums(codes: np.ndarray, weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
+    """Discounted sum of the weights of each row's triples; -1 is no character."""
+    total = np.zeros(len(codes), np.float32)
+    for values, _, discount in weighed(codes, weights, alphabet):
+        total += discount * values.sum(axis=1)
     return total
 
 
+def edge_sums(codes: np.ndarray, size: np.ndarray, weights: np.ndarray, alphabet: Alphabet) -> tuple[np.ndarray, ...]:
+    """``triple_sums`` of rows of ``size`` characters between two edges, and those without
+    the right edge and without the left one, from weights that are looked up once."""
+    total, left, right = (np.zeros(len(codes), np.float32) for _ in range(3))
+    for values, k, discount in weighed(codes, weights, alphabet):
+        total += discount * values.sum(axis=1)
+        begin = values[:, 0].copy()
+        values[:, 0] = 0  # the triples that start at the left edge
+        right += discount * values.sum(axis=1)
+        values[:, 0] = begin
+        rows = np.flatnonzero(size + 1 >= k)
+        values[rows, size[rows] + 1 - k] = 0  # the triple that ends at the right edge
+        left += discount * values.sum(axis=1)
+    return total, left, right
+
+
 def score_units(words: list[str], weights: np.ndarray, alphabet: Alphabet) -> np.ndarray:
     """Normalised sum over the triples of each word of their weights."""
     out = np.empty(len(words))
@@ -371,9 +395,7 @@ class Lexicon:
         tail = begin[np.arange(n)[:, None], _EDGE + 1 + size[:, None] - _EDGE + place]
         after = np.full((n, width + _EDGE), alphabet.other, np.int32)
         after[:, :width] = begin[:, _EDGE:]
-        total = triple_sums(codes, self.weights, alphabet)
-        first = after[:, :SPAN + 1].T
-        last = begin[np.arange(n)[:, None], _EDGE + 1 + size[:, None] - SPAN + np.arange(SPAN + 1)].T
+        total, left, right = edge_sums(codes, size, self.weights, alphabet)
         short = np.full((n, max(SHORT, width)), alphabet.other, np.int32)
         short[:, :width - 2] = np.where(np.arange(1, width - 1) <= size[:, None], after[:, 1:width - 1], alphabet.other)
         own = np.where(size >= SHORTEST, total / self.scale[size + 2], NOTHING)
@@ -381,9 +403,8 @@ class Lexicon:
         if len(odd):
             own[odd] = score_units([tokens[k] for k in odd], self.weights, alphabet)
         self.put("own", own)
-        # without the right edge, and without the left one
-        self.put("left", total - self.over(last, [(SPAN - k, SPAN - k + j, SPAN, DECAY ** k) for j, k in GAPS]))
-        self.put("right", total - self.over(first, [(0, j, k, DECAY ** k) for j, k in GAPS]))
+        self.put("left", left)
+        self.put("right", right)
         self.put("size", size)
         self.put("codes", short[:, :SHORT])
         self.put("shown", np.fromiter(map(len, words), np.int64, n))
@@ -410,25 +431,19 @@ class Lexicon:
     def pairs(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Scores of plain words a and b with a space between."""
         columns = np.concatenate([self.tail[a].T, np.full((1, len(a)), self.alphabet.other, np.int32), self.head[b].T])
-        total = self.over(columns, self.cross, self.left[a] + self.right[b])
-        return total / self.scale[self.size[a] + self.size[b] + 3]
-
-    def over(self, columns: np.ndarray, places: list, total: np.ndarray | None = None) -> np.ndarray:
-        """``total`` and the discounted weights of the triples at (i, j, k, discount) of rows of codes."""
-        total = np.zeros(columns.shape[1], np.float32) if total is None else total
+        total = self.left[a] + self.right[b]
         if self.alphabet.size ** 3 > BUCKETS:
             padded = np.append(self.weights, np.float32(0))
             valid = columns != self.alphabet.other
-            for i, j, k, discount in places:
+            for i, j, k, discount in self.cross:
                 number = np.where(valid[i] & valid[j] & valid[k], self.alphabet.number(columns[i], columns[j], columns[k]), -1)
                 total += np.float32(discount) * padded[number]
         else:
-            columns = np.ascontiguousarray(columns)
             middle = columns * np.int32(self.alphabet.size)
             first = middle * np.int32(self.alphabet.size)
-            for i, j, k, discount in places:
+            for i, j, k, discount in self.cross:
                 total += np.float32(discount) * self.weights[first[i] + middle[j] + columns[k]]
-        return total
+        return total / self.scale[self.size[a] + self.size[b] + 3]
 
     def threes(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Scores of short plain words a, b and c with spaces between."""
