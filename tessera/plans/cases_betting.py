@@ -20,6 +20,9 @@ from tessera.session import stored, table_path
 ROW_ORDER = ["race_date", "race_id", "horse_no", "horse_id", "jockey_id", "l_extendedprice"]
 ROW_ORDER_SQL = ", ".join(ROW_ORDER)
 
+# what bets are chosen, settled and grouped by, beside the order
+BET_INPUTS = ["course", "expected_value_place", "value_gap", "bet_score", "model_uncertainty", "target_place", "payout_place"]
+
 
 def base_frame(spark, sf_dir):
     """Scored entries with value columns, the place target and a place payout."""
@@ -80,7 +83,9 @@ SELECT course, count(*) AS bet_count, round(avg(CAST(hit AS DOUBLE)), 6) AS hit_
   round(sum(profit), 6) AS profit, round(max(d), 6) AS max_drawdown FROM dd GROUP BY course"""))
 def bet_metrics_q(spark, sf_dir):
     """Count, hit rate, ROI, profit and max drawdown per course."""
-    m = bet_metrics(_settled(spark, sf_dir), ROW_ORDER, by=["course"])
+    # read by the stakes' quantiles (counts, bounds, ranks) and by the fold and its range bounds: computed once
+    rows = stored(base_frame(spark, sf_dir).select(*ROW_ORDER, *BET_INPUTS), "valued")
+    m = bet_metrics(settle(select_bets(rows)), ROW_ORDER, by=["course"])
     return m.select("course", "bet_count", r6("hit_rate"), r6("roi"), r6("profit"), r6("max_drawdown"))
 
 
